@@ -14,18 +14,22 @@ The forest grows with the documents, hence a tree goes to the chunks of its shar
 executor. The number of blocks follows the number of fingerprints, so that a shard stays small at any
 size; what is linked doesn't depend on it. Out of a pair of chunks come only the links of a spanning
 forest, at most one for each fingerprint, never all pairs.
+
+Blocks serve small radii. For a wide radius (a similarity of 0.8 on five-word shingles) `similar`
+uses fingerprints of 256 bits, which tell unrelated texts from near copies, and deals them by the
+smallest shingle hashes of their texts instead; the trees, chunks and links are the same.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelyard.llm.common import SPACE_WORD, pieces, stage
@@ -34,25 +38,31 @@ from voxelyard.llm.streams import groups
 
 #: The contract's seed for XXH64.
 SEED = 42
+_ALL = (1 << 64) - 1
 _UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _WORD = re.compile(SPACE_WORD)
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """The unsigned 64-bit fingerprint of a whole text; 0 where it has no words."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each word shingle of a whole text, repeats included; empty where it has no words."""
     words = _WORD.findall((text or "").translate(_UPPER) if not (text or "").isascii() else (text or "").lower())
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     coded = [*map(str.encode, words)]
     joined = b" ".join(coded)
     if len(coded) <= shingle:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) + 1)
     starts = np.concatenate(([0], ends[:-shingle])).tolist()
     stops = (ends[shingle - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], np.uint64)
-    return vote(hashes)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """The unsigned 64-bit fingerprint of a whole text; 0 where it has no words."""
+    hashes = shingle_hashes(text, shingle)
+    return vote(hashes) if len(hashes) else 0
 
 
 def vote(hashes: np.ndarray) -> int:
@@ -112,32 +122,69 @@ class BKTree:
                     todo.append(child)
 
 
-def _forest(tree_side: list[int], query_side: list[int] | None, radius: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of all links inside tree_side, or between the two sides."""
-    tree, root = BKTree(), {}
+class _Forest:
+    """Links of a spanning forest, by union and find."""
 
-    def find(x: int) -> int:
+    def __init__(self) -> None:
+        self.root: dict[int, int] = {}
+        self.links: list[tuple[int, int]] = []
+
+    def find(self, x: int) -> int:
+        root = self.root
         while root.setdefault(x, x) != x:
             root[x] = root[root[x]]
             x = root[x]
         return x
 
-    links = []
+    def link(self, x: int, y: int) -> None:
+        a, b = self.find(x), self.find(y)
+        if a != b:
+            self.root[a] = b
+            self.links.append((x, y))
 
-    def search(value: int) -> None:
-        for at in tree.near(value, radius):
-            a, b = find(value), find(other := tree.values[at])
-            if a != b:
-                root[a] = b
-                links.append((value, other))
 
+def _forest(tree_side: list[int], query_side: list[int] | None, radius: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of all links inside tree_side, or between the two sides."""
+    tree, forest = BKTree(), _Forest()
     for v in tree_side:
         if query_side is None:
-            search(v)
+            for at in tree.near(v, radius):
+                forest.link(v, tree.values[at])
         tree.add(v)
     for v in query_side or ():
-        search(v)
-    return links
+        for at in tree.near(v, radius):
+            forest.link(v, tree.values[at])
+    return forest.links
+
+
+def _wide_forest(names: np.ndarray, prints: np.ndarray, queries: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
+    """As _forest, for prints of several 64-bit words, on whole arrays of queries at once.
+
+    names: what links are made of. queries: positions of the query side, or None for all. A BK-tree
+    built from the top down: a node's children are its other prints by their distance to it. The
+    queries move down together; one follows the edges within the radius of its own distance.
+    """
+    forest = _Forest()
+    inside = queries is None
+    tree = np.arange(len(names)) if inside else np.setdiff1d(np.arange(len(names)), queries)
+    todo = [(tree, tree if inside else queries)]
+    while todo:
+        nodes, asking = todo.pop()
+        if not len(nodes) or not len(asking):
+            continue
+        node, below = nodes[0], nodes[1:]
+        far = np.bitwise_count(prints[asking] ^ prints[node]).sum(1, dtype=np.int64)
+        for q in asking[far <= radius].tolist():
+            if q != node:
+                forest.link(int(names[q]), int(names[node]))
+        if not len(below):
+            continue
+        apart = np.bitwise_count(prints[below] ^ prints[node]).sum(1, dtype=np.int64)
+        order = np.argsort(apart, kind="stable")
+        edges, first = np.unique(apart[order], return_index=True)
+        for edge, part in zip(edges.tolist(), np.split(below[order], first[1:])):
+            todo.append((part, asking[np.abs(far - edge) <= radius]))
+    return forest.links
 
 
 def choose_blocks(nodes: int, radius: int, shard_rows: int = 64) -> int:
@@ -159,6 +206,25 @@ def link(nodes: DataFrame, radius: int = 4, shard_rows: int = 2048) -> DataFrame
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
     keys = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks)])
     dealt = nodes.select("fp", F.explode(keys).alias("k")).select("fp", "k.part", "k.bits")
+
+    def search(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+        fps = g["fp"].view(np.uint64)
+        if len(fps) > 64:
+            queries = None if g["i"][0] == g["j"][0] else np.flatnonzero(g["in_tree"] != 1)
+            return _wide_forest(fps, fps[:, None], queries, radius)
+        if g["i"][0] == g["j"][0]:
+            return _forest(np.sort(fps).tolist(), None, radius)
+        tree = g["in_tree"] == 1
+        return _forest(np.sort(fps[tree]).tolist(), np.sort(fps[~tree]).tolist(), radius)
+
+    return _in_shards(dealt, search, shard_rows)
+
+
+def _in_shards(
+    dealt: DataFrame, search: Callable[[dict[str, np.ndarray]], list[tuple[int, int]]], shard_rows: int
+) -> DataFrame:
+    """dealt: fp, part, bits (the shard) and more. search is called for each pair of chunks."""
+    more = [c for c in dealt.columns if c not in ("part", "bits", "fp")]
     hot = (
         dealt.groupBy("part", "bits").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows)
         .select("part", "bits", F.ceil(F.col("n") / shard_rows).cast("int").alias("chunks"))
@@ -167,10 +233,10 @@ def link(nodes: DataFrame, radius: int = 4, shard_rows: int = 2048) -> DataFrame
     mine = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     pairs = (
         sized.withColumn("mine", mine)
-        .select("part", "bits", "mine", "fp", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+        .select("part", "bits", "mine", "fp", *more, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
         .select(
             "part", "bits", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-            "fp", (F.col("mine") <= F.col("other")).cast("int").alias("in_tree"),
+            "fp", (F.col("mine") <= F.col("other")).cast("int").alias("in_tree"), *more,
         )
     )
 
@@ -179,12 +245,7 @@ def link(nodes: DataFrame, radius: int = 4, shard_rows: int = 2048) -> DataFrame
         for g in groups(batches, 4):
             if len(g["fp"]) < 2:
                 continue
-            fps = g["fp"].view(np.uint64)
-            if g["i"][0] == g["j"][0]:
-                found += _forest(np.sort(fps).tolist(), None, radius)
-            else:
-                tree = g["in_tree"] == 1
-                found += _forest(np.sort(fps[tree]).tolist(), np.sort(fps[~tree]).tolist(), radius)
+            found += search(g)
             if len(found) > 50_000:
                 yield _links(found)
                 found = []
@@ -193,12 +254,12 @@ def link(nodes: DataFrame, radius: int = 4, shard_rows: int = 2048) -> DataFrame
     names = ["part", "bits", "i", "j"]
     return (
         pairs.repartition(*[F.col(n) for n in names]).sortWithinPartitions(*names)
-        .select(*names, "fp", "in_tree").mapInArrow(work, "a long, b long")
+        .select(*names, "fp", "in_tree", *more).mapInArrow(work, "a long, b long")
     )
 
 
 def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    arr = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+    arr = np.array([(a & _ALL, b & _ALL) for a, b in found], np.uint64).reshape(-1, 2).view(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(arr[:, 0]), pa.array(arr[:, 1])], ["a", "b"])
 
 
@@ -224,3 +285,96 @@ def near_duplicates(
     return prints.join(of_fp, "fp").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def wide_print(hashes: np.ndarray) -> np.ndarray:
+    """256 bits: the votes of the hashes and of three mixes of them."""
+    out = []
+    for k in range(4):
+        h = hashes if not k else _mixed(hashes, k)
+        out.append(vote(h) if len(h) else 0)
+    return np.array(out, np.uint64)
+
+
+def _mixed(h: np.ndarray, k: int) -> np.ndarray:
+    z = h + np.uint64(0x9E3779B97F4A7C15 * k & _ALL)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def similar(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
+    deals: int = 8, shard_rows: int = 1024,
+) -> DataFrame:
+    """Per row: doc_id, text_hash, node (long), component_id: groups of texts whose five-word shingles are
+    similar, by 256-bit fingerprints within the radius that goes with the similarity.
+
+    Fingerprints of shingle sets of Jaccard similarity s differ in about acos(2 s / (1 + s)) / pi of
+    their bits; the radius adds 1.6 standard deviations, so that about 95 % of pairs at exactly s,
+    and nearly all above, are within it. A text is dealt to the shards of its `deals` smallest shingle
+    hashes: of two texts with Jaccard s, 1 - (1 - s)^deals of all pairs meet. Edge cases are as in
+    near_duplicates: null and empty texts have the print zero and are one group.
+    """
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    radius = round(256 * share + 1.6 * np.sqrt(256 * share * (1 - share)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in pieces(whole):
+                got = [shingle_hashes(t, shingle) for t in b.column(1).to_pylist()]
+                sigs = [wide_print(h) for h in got]
+                names = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sigs], np.uint64).view(np.int64)
+                least = [np.unique(h)[:deals].view(np.int64) for h in got]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(2), pa.array(names), pa.array([s.view(np.int64) for s in sigs], pa.list_(pa.int64())), pa.array(least, pa.list_(pa.int64()))],
+                    ["doc_id", "text_hash", "node", "sig", "least"],
+                )
+
+    key = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
+    prints = stage(
+        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+        .mapInArrow(work, f"doc_id {key}, text_hash long, node long, sig array<long>, least array<long>"),
+        "prints",
+    )
+    nodes = stage(
+        prints.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("sig").alias("sig"), F.min("least").alias("least")), "nodes"
+    )
+    dealt = nodes.select(
+        F.col("node").alias("fp"), F.lit(0).alias("part"), F.explode("least").alias("bits"),
+        *[F.col("sig")[i].alias(f"w{i}") for i in range(4)],
+    )
+
+    def search(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+        sigs = np.stack([g[f"w{i}"].view(np.uint64) for i in range(4)], axis=1)
+        queries = None if g["i"][0] == g["j"][0] else np.flatnonzero(g["in_tree"] != 1)
+        return _wide_forest(g["fp"], sigs, queries, radius)
+
+    roots = components(_in_shards(dealt, search, shard_rows))
+    labelled = nodes.select("node", "least_id").join(roots.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select(
+        "node", "least_id", F.coalesce("root", "node").alias("root")
+    )
+    best = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    of_node = stage(labelled.join(best, "root").select("node", "component_id"), "groups")
+    return prints.join(of_node, "node").select("doc_id", "text_hash", "node", "component_id")
+
+
+def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, that stay: of each group of similar(docs) one.
+
+    That with the smallest id stays; of texts that share the id, that with the smallest hash; of rows
+    that repeat both, one. Of a group whose ids are all null one row stays.
+    """
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = (
+        first.groupBy("component_id", F.when(F.col("doc_id").isNull(), F.col("node")).alias("vy_lone"))
+        .agg(F.min("text_hash").alias("vy_key"))
+        .select(F.col("component_id").alias("vy_id"), "vy_key")
+    )
+    rows = groups.groupBy("doc_id", "text_hash").agg(F.count("*").alias("vy_rows"))
+    kept = kept.join(rows, kept["vy_id"].eqNullSafe(rows["doc_id"]) & (kept["vy_key"] == rows["text_hash"])).select("vy_id", "vy_key", "vy_rows")
+    keyed = docs.withColumn("vy_hash", F.xxhash64(F.col(text_col)))
+    met = keyed.join(kept, F.col(id_col).eqNullSafe(F.col("vy_id")) & (F.col("vy_hash") == F.col("vy_key")))
+    many = met.where("vy_rows > 1").withColumn("vy_place", F.row_number().over(Window.partitionBy("vy_id", "vy_key").orderBy("vy_key")))
+    rows = met.where("vy_rows = 1").unionByName(many.where("vy_place = 1").drop("vy_place"))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
