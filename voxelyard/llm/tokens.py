@@ -11,6 +11,7 @@ alone, and a reader of the metadata reads no token.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -21,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxelyard.llm.bpe import UNSAFE_SPACE
+from voxelyard.llm.bpe import UNSAFE_SPACE, byte_letters
 from voxelyard.llm.common import pieces
 
 WRITER = {
-    "compression": "zstd",
+    "compression": "snappy",
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.enable.dictionary": "true",
     "parquet.dictionary.page.size": str(1 << 20),
@@ -35,31 +36,94 @@ WRITER = {
 }
 
 
+#: Marks that end a word as a pre-token of their own.
+MARKS = ".,;:!?&*$%#|)\"-"
+#: Letters below this code point are letters to every Unicode version in use.
+LATIN_END = "\u0250"
+#: The letter that stands for the byte of a space.
+SPACE = "\u0120"
+
+
 class CachedTokenizer:
-    """The tokenizers library, asked once for each chunk of text.
+    """The tokenizers library, asked once for each word.
 
     A text is cut before each single space that a non-space follows, where a byte-level pre-tokenizer
-    always cuts as well, so the ids of the chunks join to those of the text. At most `cache` chunks
-    are remembered; results don't depend on it.
+    always cuts as well, so the ids of the parts join to those of the text; a part is cut between its
+    letters and the marks that end it, for the same reason. Words of Latin letters are one pre-token
+    and go to the library's model as such; all other parts go through the whole library. At most
+    2 x `cache` words and as many parts are remembered, in two generations; results don't depend on it.
     """
 
-    def __init__(self, path: str, cache: int = 700_000) -> None:
+    def __init__(self, path: str, cache: int = 450_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.library_model = self.library.model.tokenize
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.limit, self.chunks = cache, {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        got = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
+        shown = {b: letter for letter, b in byte_letters().items()}
+        self.letters = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0x250)}
+        self.cache = cache
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_parts, self.old_words = {}, {}
+        self.tails: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn(self, missing: set[str]) -> None:
+        """Put the parts into the cache."""
+        if len(self.parts) + len(missing) > self.cache:
+            self.parts, self.old_parts = {}, self.parts
+        if len(self.words) + len(missing) > self.cache:
+            self.words, self.old_words = {}, self.words
+        if len(self.tails) > 10_000:
+            self.tails.clear()
+        parts, part, known = self.parts, self._part, self.old_parts.get
+        for p in missing:
+            if (ids := known(p)) is not None:
+                parts[p] = ids
+                continue
+            parts[p] = part(p, SPACE)
+
+    def _part(self, p: str, before: str) -> bytes:
+        left, line, right = p.partition("\n")
+        if not line:
+            return self._one(p, before)
+        if left and right and not left[-1].isspace() and not right[0].isspace() and "\n" not in right:
+            return self._one(left, before) + self._tail("\n") + self._one(right, "")
+        return self._whole(" " + p if before else p)
+
+    def _tail(self, tail: str) -> bytes:
+        if (ids := self.tails.get(tail)) is None:
+            self.tails[tail] = ids = self._whole(tail)
+        return ids
+
+    def _one(self, p: str, before: str) -> bytes:
+        """Ids of a part without a line feed, after a space (before is its letter) or after none."""
+        w = p.rstrip(MARKS)
+        if not (w.isalpha() and (w.isascii() or max(w) < LATIN_END)):
+            return self._whole(" " + p if before else p)
+        key = before + w
+        ids = self.words.get(key)
+        if ids is None and (ids := self.old_words.get(key)) is not None:
+            self.words[key] = ids
+        elif ids is None:
+            got = self.library_model(key if w.isascii() else before + w.translate(self.letters))
+            self.words[key] = ids = struct.pack(f"<{len(got)}I", *[t.id for t in got])
+        return ids + self._tail(p[len(w) :]) if len(w) < len(p) else ids
 
     def _cut(self, text: str) -> list[str]:
         parts = text.split(" ")
-        if UNSAFE_SPACE.search(text) is None:
+        if text.isascii():
+            unsafe = any(x in text for x in ("  ", " \n", " \t", " \r", " \x0b", " \x0c", " \x1c", " \x1d", " \x1e", " \x1f")) or text[-1] == " "
+        else:
+            unsafe = UNSAFE_SPACE.search(text) is not None
+        if not unsafe:
             return parts
         out = [parts[0]]
         for p in parts[1:]:
@@ -71,29 +135,39 @@ class CachedTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text (null: none) as little-endian unsigned 32-bit integers."""
-        out: list[bytes | None] = [None] * len(texts)
-        cut: dict[int, list[str]] = {}
+        out: list[bytes] = [b""] * len(texts)
+        found: dict[int, list] = {}
+        open_: dict[int, tuple[list[str], list[int]]] = {}
+        missing: set[str] = set()
+        get = self.parts.get
         for i, t in enumerate(texts):
             if not t:
-                out[i] = b""
-            elif any(s in t for s in self.special):
-                out[i] = self._whole([t])[0]
-            else:
-                cut[i] = self._cut(t)
-        need = set()
-        for c in cut.values():
-            need.update(c[1:])
-        missing = [*need.difference(self.chunks)]
-        if len(self.chunks) + len(missing) > self.limit:
-            self.chunks.clear()
-            missing = [*need]
-        for at in range(0, len(missing), 20_000):
-            part = missing[at : at + 20_000]
-            self.chunks.update(zip(part, self._whole([" " + c for c in part])))
-        first = dict(zip(cut, self._whole([c[0] for c in cut.values()])))
-        get = self.chunks.__getitem__
-        for i, c in cut.items():
-            out[i] = first[i] + b"".join(map(get, c[1:]))
+                continue
+            if any(s in t for s in self.special):
+                out[i] = self._whole(t)
+                continue
+            first, *cut = self._cut(t)
+            ids = [*map(get, cut)]
+            if first:
+                ids.insert(0, self._part(first, ""))
+                cut.insert(0, first)
+            if None in ids:
+                k, at, find = -1, [], ids.index
+                for _ in range(ids.count(None)):
+                    k = find(None, k + 1)
+                    at.append(k)
+                missing.update([cut[k] for k in at])
+                open_[i] = cut, at
+            found[i] = ids
+        if missing:
+            self._learn(missing)
+            parts = self.parts
+            for i, (cut, at) in open_.items():
+                ids = found[i]
+                for k in at:
+                    ids[k] = parts[cut[k]]
+        for i, ids in found.items():
+            out[i] = b"".join(ids)
         return out
 
 
