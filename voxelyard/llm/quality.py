@@ -97,10 +97,10 @@ def features(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray]:
             sum(map(eq, words, words[1:])) / n,
         )
         index = known.bucket[rows]
-        value = c / np.sqrt(np.square(c).sum())
+        value = 0.5 * c / np.sqrt(np.square(c).sum())
     place = np.minimum((np.clip(stats, 0, 1) ** 0.5 * BINS).astype(np.int64), BINS - 1)
     at = WORD_BUCKETS + np.arange(len(STATS)) * BINS + place
-    return np.concatenate((index, at)), np.concatenate((value, np.full(len(STATS), 0.5)))
+    return np.concatenate((index, at)), np.concatenate((value, np.ones(len(STATS))))
 
 
 @dataclass
@@ -127,10 +127,11 @@ class FactorisationMachine:
 
 
 def train(
-    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int = 8, epochs: int = 6, batch: int = 128,
-    rate: float = 0.1, decay: float = 2e-5, seed: int = 10,
+    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int = 8, updates: int = 600, epochs: int = 6, batch: int = 32,
+    rate: float = 0.1, decay: float = 3e-4, seed: int = 10,
 ) -> FactorisationMachine:
-    """Logistic loss, AdaGrad, in an order drawn once from the seed. No rows: a constant 0.5."""
+    """Logistic loss, AdaGrad, in an order drawn from the seed: `epochs` passes, or as many more (60 at
+    most) as make about `updates` updates of few rows. No rows: a constant 0.5."""
     rng = np.random.default_rng(seed)
     linear, factors, bias = np.zeros(FEATURES), rng.normal(0, 0.02, (FEATURES, rank)), 0.0
     if not rows:
@@ -138,7 +139,7 @@ def train(
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
     bias = float(np.log(share / (1 - share)))
     g_linear, g_factors, g_bias = np.full(FEATURES, 1e-2), np.full((FEATURES, rank), 1e-2), 1e-2
-    for _ in range(epochs):
+    for _ in range(max(epochs, min(60, -(-updates * batch // len(rows))))):
         order = rng.permutation(len(rows))
         for at in range(0, len(rows), batch):
             part = order[at : at + batch]

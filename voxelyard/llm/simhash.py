@@ -307,7 +307,7 @@ def similar(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
     deals: int = 8, shard_rows: int = 1024,
 ) -> DataFrame:
-    """Per row: doc_id, text_hash, node (long), component_id: groups of texts whose five-word shingles are
+    """Per row: doc_id, text_hash, node, root (longs), component_id: groups of texts whose five-word shingles are
     similar, by 256-bit fingerprints within the radius that goes with the similarity.
 
     Fingerprints of shingle sets of Jaccard similarity s differ in about acos(2 s / (1 + s)) / pi of
@@ -355,8 +355,8 @@ def similar(
         "node", "least_id", F.coalesce("root", "node").alias("root")
     )
     best = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_node = stage(labelled.join(best, "root").select("node", "component_id"), "groups")
-    return prints.join(of_node, "node").select("doc_id", "text_hash", "node", "component_id")
+    of_node = stage(labelled.join(best, "root").select("node", "root", "component_id"), "groups")
+    return prints.join(of_node, "node").select("doc_id", "text_hash", "node", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -366,11 +366,7 @@ def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_
     that repeat both, one. Of a group whose ids are all null one row stays.
     """
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = (
-        first.groupBy("component_id", F.when(F.col("doc_id").isNull(), F.col("node")).alias("vy_lone"))
-        .agg(F.min("text_hash").alias("vy_key"))
-        .select(F.col("component_id").alias("vy_id"), "vy_key")
-    )
+    kept = first.groupBy("root").agg(F.first("component_id").alias("vy_id"), F.min("text_hash").alias("vy_key")).select("vy_id", "vy_key").distinct()
     rows = groups.groupBy("doc_id", "text_hash").agg(F.count("*").alias("vy_rows"))
     kept = kept.join(rows, kept["vy_id"].eqNullSafe(rows["doc_id"]) & (kept["vy_key"] == rows["text_hash"])).select("vy_id", "vy_key", "vy_rows")
     keyed = docs.withColumn("vy_hash", F.xxhash64(F.col(text_col)))
