@@ -42,6 +42,7 @@ MARKS = ".,;:!?&*$%#|)\"-"
 LATIN_END = "\u0250"
 #: The letter that stands for the byte of a space.
 SPACE = "\u0120"
+PACK = [struct.Struct(f"<{n}I").pack for n in range(40)]
 
 
 class CachedTokenizer:
@@ -51,72 +52,69 @@ class CachedTokenizer:
     always cuts as well, so the ids of the parts join to those of the text; a part is cut between its
     letters and the marks that end it, for the same reason. Words of Latin letters are one pre-token
     and go to the library's model as such; all other parts go through the whole library. At most
-    2 x `cache` words and as many parts are remembered, in two generations; results don't depend on it.
+    2 x `cache` parts are remembered, in two generations; results don't depend on it.
     """
 
-    def __init__(self, path: str, cache: int = 450_000) -> None:
+    def __init__(self, path: str, cache: int = 500_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.library_model = self.library.model.tokenize
+        self.model = self.library.model.tokenize
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         shown = {b: letter for letter, b in byte_letters().items()}
         self.letters = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0x250)}
         self.cache = cache
-        self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_parts, self.old_words = {}, {}
+        self.parts = _Parts(self, {})
         self.tails: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _learn(self, missing: set[str]) -> None:
-        """Put the parts into the cache."""
-        if len(self.parts) + len(missing) > self.cache:
-            self.parts, self.old_parts = {}, self.parts
-        if len(self.words) + len(missing) > self.cache:
-            self.words, self.old_words = {}, self.words
-        if len(self.tails) > 10_000:
-            self.tails.clear()
-        parts, part, known = self.parts, self._part, self.old_parts.get
-        for p in missing:
-            if (ids := known(p)) is not None:
-                parts[p] = ids
-                continue
-            parts[p] = part(p, SPACE)
-
-    def _part(self, p: str, before: str) -> bytes:
-        left, line, right = p.partition("\n")
-        if not line:
-            return self._one(p, before)
-        if left and right and not left[-1].isspace() and not right[0].isspace() and "\n" not in right:
-            return self._one(left, before) + self._tail("\n") + self._one(right, "")
-        return self._whole(" " + p if before else p)
+    def _ids(self, p: str) -> bytes:
+        """Ids of a part after a space."""
+        w = p.rstrip(MARKS)
+        if len(w) < len(p):
+            return self.parts[w] + self._tail(p[len(w) :]) if w.isalpha() else self._lines(p)
+        ids = self._word(p, SPACE)
+        return self._lines(p) if ids is None else ids
+
+    def _word(self, w: str, before: str) -> bytes | None:
+        """Ids of a word of Latin letters after a space (before is its letter) or after none."""
+        if w.isascii():
+            if not w.isalpha():
+                return None
+            got = self.model(before + w)
+        elif w.isalpha() and max(w) < LATIN_END:
+            got = self.model(before + w.translate(self.letters))
+        else:
+            return None
+        return PACK[len(got)](*[t.id for t in got]) if len(got) < len(PACK) else struct.pack(f"<{len(got)}I", *[t.id for t in got])
 
     def _tail(self, tail: str) -> bytes:
         if (ids := self.tails.get(tail)) is None:
             self.tails[tail] = ids = self._whole(tail)
         return ids
 
-    def _one(self, p: str, before: str) -> bytes:
-        """Ids of a part without a line feed, after a space (before is its letter) or after none."""
+    def _bare(self, p: str) -> bytes:
+        """Ids of a part without a line feed after none or a line feed."""
         w = p.rstrip(MARKS)
-        if not (w.isalpha() and (w.isascii() or max(w) < LATIN_END)):
-            return self._whole(" " + p if before else p)
-        key = before + w
-        ids = self.words.get(key)
-        if ids is None and (ids := self.old_words.get(key)) is not None:
-            self.words[key] = ids
-        elif ids is None:
-            got = self.library_model(key if w.isascii() else before + w.translate(self.letters))
-            self.words[key] = ids = struct.pack(f"<{len(got)}I", *[t.id for t in got])
+        if (ids := self._word(w, "")) is None:
+            return self._whole(p)
         return ids + self._tail(p[len(w) :]) if len(w) < len(p) else ids
 
+    def _lines(self, p: str) -> bytes:
+        """Ids of a part after a space that may hold a line feed between two words."""
+        left, line, right = p.partition("\n")
+        if not line:
+            return self._whole(" " + p)
+        if left and right and not left[-1].isspace() and not right[0].isspace() and "\n" not in right:
+            return self.parts[left] + self._tail("\n") + self._bare(right)
+        return self._whole(" " + p)
+
     def _cut(self, text: str) -> list[str]:
         parts = text.split(" ")
         if text.isascii():
@@ -135,42 +133,36 @@ class CachedTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text (null: none) as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(texts)
-        found: dict[int, list] = {}
-        open_: dict[int, tuple[list[str], list[int]]] = {}
-        missing: set[str] = set()
-        get = self.parts.get
-        for i, t in enumerate(texts):
+        out = []
+        for t in texts:
             if not t:
-                continue
-            if any(s in t for s in self.special):
-                out[i] = self._whole(t)
-                continue
-            first, *cut = self._cut(t)
-            ids = [*map(get, cut)]
-            if first:
-                ids.insert(0, self._part(first, ""))
-                cut.insert(0, first)
-            if None in ids:
-                k, at, find = -1, [], ids.index
-                for _ in range(ids.count(None)):
-                    k = find(None, k + 1)
-                    at.append(k)
-                missing.update([cut[k] for k in at])
-                open_[i] = cut, at
-            found[i] = ids
-        if missing:
-            self._learn(missing)
-            parts = self.parts
-            for i, (cut, at) in open_.items():
-                ids = found[i]
-                for k in at:
-                    ids[k] = parts[cut[k]]
-        for i, ids in found.items():
-            out[i] = b"".join(ids)
+                out.append(b"")
+            elif any(s in t for s in self.special):
+                out.append(self._whole(t))
+            else:
+                if len(self.parts) > self.cache:
+                    self.parts = _Parts(self, self.parts)
+                    self.tails.clear()
+                first, *cut = self._cut(t)
+                begin = b"" if not first else self._whole(first) if "\n" in first else self._bare(first)
+                out.append(begin + b"".join(map(self.parts.__getitem__, cut)))
         return out
 
 
+class _Parts(dict):
+    """Ids of parts after a space; what it lacks it takes from the generation before, or works out."""
+
+    def __init__(self, coder: CachedTokenizer, old: dict[str, bytes]) -> None:
+        self.coder, self.old = coder, dict(old).get  # a plain copy: old.old isn't kept
+
+    def __missing__(self, p: str) -> bytes:
+        ids = self.old(p)
+        if ids is None:
+            ids = self.coder._ids(p)
+        self[p] = ids
+        return ids
+
+
 _LOADED: dict[str, CachedTokenizer] = {}
 
 
