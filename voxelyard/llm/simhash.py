@@ -16,8 +16,9 @@ size; what is linked doesn't depend on it. Out of a pair of chunks come only the
 forest, at most one for each fingerprint, never all pairs.
 
 Blocks serve small radii. For a wide radius (a similarity of 0.8 on five-word shingles) `similar`
-uses fingerprints of 256 bits, which tell unrelated texts from near copies, and deals them by the
-smallest shingle hashes of their texts instead; the trees, chunks and links are the same.
+uses fingerprints of 512 bits over the distinct shingles, which tell near copies from texts that
+share passages, and deals them by the smallest shingle hashes of their texts instead; the trees,
+chunks and links are the same.
 """
 
 from __future__ import annotations
@@ -287,10 +288,10 @@ def near_duplicates(
     )
 
 
-def wide_print(hashes: np.ndarray) -> np.ndarray:
-    """256 bits: the votes of the hashes and of three mixes of them."""
+def wide_print(hashes: np.ndarray, words: int = 8) -> np.ndarray:
+    """64 bits for each word: the votes of the hashes and of mixes of them."""
     out = []
-    for k in range(4):
+    for k in range(words):
         h = hashes if not k else _mixed(hashes, k)
         out.append(vote(h) if len(h) else 0)
     return np.array(out, np.uint64)
@@ -305,27 +306,28 @@ def _mixed(h: np.ndarray, k: int) -> np.ndarray:
 
 def similar(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
-    deals: int = 8, shard_rows: int = 1024,
+    deals: int = 8, shard_rows: int = 1024, words: int = 8,
 ) -> DataFrame:
     """Per row: doc_id, text_hash, node, root (longs), component_id: groups of texts whose five-word shingles are
-    similar, by 256-bit fingerprints within the radius that goes with the similarity.
+    similar, by fingerprints of 64 x words bits within the radius that goes with the similarity.
 
     Fingerprints of shingle sets of Jaccard similarity s differ in about acos(2 s / (1 + s)) / pi of
-    their bits; the radius adds 1.6 standard deviations, so that about 95 % of pairs at exactly s,
-    and nearly all above, are within it. A text is dealt to the shards of its `deals` smallest shingle
+    their bits; the radius adds 1.3 standard deviations, so that about 90 % of pairs at exactly s, and
+    nearly all a little above, are within it. A text is dealt to the shards of its `deals` smallest shingle
     hashes: of two texts with Jaccard s, 1 - (1 - s)^deals of all pairs meet. Edge cases are as in
     near_duplicates: null and empty texts have the print zero and are one group.
     """
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    radius = round(256 * share + 1.6 * np.sqrt(256 * share * (1 - share)))
+    bits = 64 * words
+    radius = round(bits * share + 1.3 * np.sqrt(bits * share * (1 - share)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in pieces(whole):
-                got = [shingle_hashes(t, shingle) for t in b.column(1).to_pylist()]
-                sigs = [wide_print(h) for h in got]
+                got = [np.unique(shingle_hashes(t, shingle)) for t in b.column(1).to_pylist()]
+                sigs = [wide_print(h, words) for h in got]
                 names = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sigs], np.uint64).view(np.int64)
-                least = [np.unique(h)[:deals].view(np.int64) for h in got]
+                least = [h[:deals].view(np.int64) for h in got]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(2), pa.array(names), pa.array([s.view(np.int64) for s in sigs], pa.list_(pa.int64())), pa.array(least, pa.list_(pa.int64()))],
                     ["doc_id", "text_hash", "node", "sig", "least"],
@@ -342,11 +344,11 @@ def similar(
     )
     dealt = nodes.select(
         F.col("node").alias("fp"), F.lit(0).alias("part"), F.explode("least").alias("bits"),
-        *[F.col("sig")[i].alias(f"w{i}") for i in range(4)],
+        *[F.col("sig")[i].alias(f"w{i}") for i in range(words)],
     )
 
     def search(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
-        sigs = np.stack([g[f"w{i}"].view(np.uint64) for i in range(4)], axis=1)
+        sigs = np.stack([g[f"w{i}"].view(np.uint64) for i in range(words)], axis=1)
         queries = None if g["i"][0] == g["j"][0] else np.flatnonzero(g["in_tree"] != 1)
         return _wide_forest(g["fp"], sigs, queries, radius)
 

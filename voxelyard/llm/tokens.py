@@ -55,7 +55,7 @@ class CachedTokenizer:
     2 x `cache` parts are remembered, in two generations; results don't depend on it.
     """
 
-    def __init__(self, path: str, cache: int = 500_000) -> None:
+    def __init__(self, path: str, cache: int = 400_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -141,6 +141,7 @@ class CachedTokenizer:
                 out.append(self._whole(t))
             else:
                 if len(self.parts) > self.cache:
+                    self.parts.old = {}.get
                     self.parts = _Parts(self, self.parts)
                     self.tails.clear()
                 first, *cut = self._cut(t)
@@ -153,7 +154,7 @@ class _Parts(dict):
     """Ids of parts after a space; what it lacks it takes from the generation before, or works out."""
 
     def __init__(self, coder: CachedTokenizer, old: dict[str, bytes]) -> None:
-        self.coder, self.old = coder, dict(old).get  # a plain copy: old.old isn't kept
+        self.coder, self.old = coder, old.get
 
     def __missing__(self, p: str) -> bytes:
         ids = self.old(p)
