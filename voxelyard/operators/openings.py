@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from voxelyard.config import Structure
 from voxelyard.functions.columns import percentile
+from voxelyard.operators.cut import cut
 
 
 def wall_ids(walls: DataFrame, by: list[str], nx: str = "nx", ny: str = "ny", offset: str = "offset") -> DataFrame:
@@ -261,10 +262,10 @@ def analyse(points: DataFrame, walls: DataFrame, cells: DataFrame, ceilings: Dat
     if ceilings is not None:
         pts = points.join(ceilings.select(*capture, "ceiling_height"), capture, "left")
         top = F.coalesce(F.col("ceiling_height") - config.ceiling_clearance_m, F.lit(config.ceiling_above_floor_m[1]))
-    near = band(pts, base, capture, config, top).select(*wall, "nx", "ny", "offset", "along", "h").persist()
-    sizes = extents(near, [*wall, "nx", "ny", "offset"], config)
+    near = cut(band(pts, base, capture, config, top).select(*wall, "nx", "ny", "offset", "along", "h"))
+    sizes = cut(extents(near, [*wall, "nx", "ny", "offset"], config))
     size_of = sizes.select(*wall, "start_m", "end_m", "bins", "bin_m", "height_m")
-    bins = profile(near.select(*wall, "along", "h").join(size_of.withColumnRenamed("height_m", "vy_top"), wall), size_of, wall, config).persist()
+    bins = cut(profile(near.select(*wall, "along", "h").join(size_of.withColumnRenamed("height_m", "vy_top"), wall), size_of, wall, config))
     solid = bins.groupBy(*wall).agg(F.avg((F.col("material") & ~F.col("open_bin")).cast("double")).alias("solid"), F.avg(F.col("material").cast("double")).alias("material_share"))
     sound = solid.where(F.col("material_share") >= config.minimum_wall_solid)
     closed = bins.join(sound.select(*wall), wall).withColumn("closed", F.col("material") & ~F.col("open_bin"))
@@ -272,17 +273,18 @@ def analyse(points: DataFrame, walls: DataFrame, cells: DataFrame, ceilings: Dat
     found = flanks(found, closed, wall, config.flank_bins).join(sizes, wall).join(solid, wall)
     found = found.withColumn("bin_width_m", F.col("run_bins") * F.col("bin_m")).where(F.col("bin_width_m") >= config.opening_width_m[0])
     found = found.withColumn("reason", reject_reason(F.col("run_start"), F.col("run_end"), F.col("bins"), F.col("bin_width_m"), F.col("left_support"), F.col("right_support"), config))
+    found = cut(found)
     kept = classify(found.where("reason is null").drop("height_m"), closed, wall, config)
     edged = refine_edges(kept.where("kind is not null"), near.select(*wall, "along", "h"), wall, config)
     inside = interior_sign(sizes, cells, capture, wall, config)
-    edged = edged.join(inside, wall)
+    edged = cut(edged.join(inside, wall))
     behind = pass_through(edged.select(*run, "nx", "ny", "offset", "inside", "left_m", "right_m", "sill_m", "head_m"), points, capture, run, config)
     spans = edged.select(*run, "nx", "ny", "offset", "inside", F.col("left_m").alias("start_m"), F.col("right_m").alias("end_m"))
     ahead = floor_support(spans, cells, capture, run, F.col("inside"), config).withColumnRenamed("support", "floor_support")
     far = floor_support(spans, cells, capture, run, -F.col("inside"), config).withColumnRenamed("support", "far_floor")
     judged = edged.join(behind, run, "left").join(ahead, run, "left").join(far, run, "left").na.fill(0, ["pass_points"]).na.fill(0.0, ["floor_support", "far_floor"])
     ok = published(F.col("pass_points"), F.col("far_floor"), config)
-    judged = capped(judged.withColumn("accepted", ok), wall, "run_start", F.col("accepted"), config.maximum_openings_per_wall)
+    judged = capped(cut(judged.withColumn("accepted", ok)), wall, "run_start", F.col("accepted"), config.maximum_openings_per_wall)
     openings = judged.where("opening_id is not null").select(
         *wall, "opening_id", "kind", "left_m", "right_m", (F.col("right_m") - F.col("left_m")).alias("width_m"), "sill_m", "head_m", "void_m",
         "left_support", "right_support", "floor_support", "far_floor", "pass_points", "nx", "ny", "offset", "inside",

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from voxelyard.config import Structure
 from voxelyard.functions.columns import cross, dot, finite, lcg, percentile
+from voxelyard.operators.cut import cut
 
 
 def classify(nx: Column, ny: Column, nz: Column, tolerance_deg: float = 15.0) -> Column:
@@ -134,7 +135,7 @@ def refine(points: DataFrame, planes: DataFrame, by: list[str], inlier: float, r
     now = planes.select(*by, "nx", "ny", "nz", "d")
     for _ in range(rounds + 1):
         inside = points.join(now, by).where(F.abs(dot(("nx", "ny", "nz"), ("x", "y", "z")) + F.col("d")) <= inlier)
-        now = total_least_squares(moments(inside, by)).select(*by, "nx", "ny", "nz", "d")
+        now = cut(total_least_squares(moments(inside, by)).select(*by, "nx", "ny", "nz", "d"))
     return now
 
 
@@ -157,10 +158,11 @@ def robust_span(points: DataFrame, by: list[str], value: str) -> DataFrame:
 
 def _horizontal(points: DataFrame, window: Column, by: list[str], config: Structure, seed: int) -> DataFrame:
     """Seeds on the fullest bin of heights in the window, then fits; one row for each group found."""
-    candidates = points.where(window).select(*by, "x", "y", "z")
+    candidates = cut(points.where(window).select(*by, "x", "y", "z"))
     peak = histogram_peak(candidates, by, "y", config.histogram_bin_m).select(*by, "centre")
-    seeded = candidates.join(peak, by).where(F.abs(F.col("y") - F.col("centre")) <= config.seed_half_band_m)
-    found = ransac(seeded, by, ["x", "y", "z"], config.ransac_iterations, seed, config.plane_inlier_m, config.ransac_sample, "horizontal", config.angle_tolerance_deg)
+    seeded = candidates.join(peak, by).where(F.abs(F.col("y") - F.col("centre")) <= config.seed_half_band_m).select(*by, "x", "y", "z")
+    sample = cut(linspace_sample(seeded, by, ["x", "y", "z"], config.ransac_sample).select(*by, "x", "y", "z"))
+    found = cut(ransac(sample, by, ["x", "y", "z"], config.ransac_iterations, seed, config.plane_inlier_m, config.ransac_sample, "horizontal", config.angle_tolerance_deg))
     planes = refine(candidates, found, by, config.plane_inlier_m)
     planes = planes.where(classify(F.col("nx"), F.col("ny"), F.col("nz"), config.angle_tolerance_deg) == "horizontal")
     return inlier_statistics(candidates, planes, by, config.plane_inlier_m)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxelyard.config import PROFILES, Drift, Reconstruction, Structure
 from voxelyard.operators import drift, frames, grid, openings, planes, polygon, project, validate
+from voxelyard.operators.cut import cut
 from voxelyard.sources import capture as cap
 
 KEY = ["capture_id"]
@@ -73,19 +74,19 @@ class Measured:
 
 def measure(cloud: DataFrame, trajectory: DataFrame, config: Structure = Structure()) -> Measured:
     """Structure of each capture's cloud (capture_id, x, y, z). trajectory: capture_id, y."""
-    points = cloud.select("capture_id", *[F.col(c).cast("double").alias(c) for c in "xyz"]).persist()
-    floors = planes.detect_floor(points, trajectory, KEY, config).persist()
+    points = cut(cloud.select("capture_id", *[F.col(c).cast("double").alias(c) for c in "xyz"]))
+    floors = cut(planes.detect_floor(points, trajectory, KEY, config))
     near = points.join(floors.select("capture_id", *[F.col(c).alias(f"f{c}") for c in ("nx", "ny", "nz", "d")]), KEY)
     on = F.abs(F.col("fnx") * F.col("x") + F.col("fny") * F.col("y") + F.col("fnz") * F.col("z") + F.col("fd")) <= config.plane_inlier_m
     origin = near.where(on).groupBy(*KEY).agg(*[F.avg(c).alias(f"o{c}") for c in "xyz"])
     framed = planes.floor_frame(floors.select("capture_id", "nx", "ny", "nz", "d")).join(origin, KEY)
-    laid = planes.on_floor(points, framed, KEY).select("capture_id", "fx", "fy", "h").persist()
+    laid = cut(planes.on_floor(points, framed, KEY).select("capture_id", "fx", "fy", "h"))
     ground = laid.where(F.abs("h") <= config.plane_inlier_m).select("capture_id", F.col("fx").alias("x"), F.col("fy").alias("y"))
-    cells = grid.trimmed_centres(ground, config.grid_size_m, KEY, config.trim_percentile).persist()
-    outline = polygon.outlines(cells, KEY, config)
-    ceilings = planes.detect_ceiling(points, floors, KEY, config)
+    cells = cut(grid.trimmed_centres(ground, config.grid_size_m, KEY, config.trim_percentile))
+    outline = cut(polygon.outlines(cells, KEY, config))
+    ceilings = cut(planes.detect_ceiling(points, floors, KEY, config))
     found = planes.detect_walls(laid.select("capture_id", F.col("fx").alias("x"), F.col("fy").alias("z"), "h"), KEY, config)
-    walls = openings.wall_ids(found, KEY, "nx", "nz").withColumnRenamed("nz", "ny").persist()
+    walls = cut(openings.wall_ids(found, KEY, "nx", "nz").withColumnRenamed("nz", "ny"))
     opened, rejected = openings.analyse(laid, walls, cells, ceilings, KEY, config)
     return Measured(floors, ceilings, outline, walls, opened, rejected, structure_warnings(floors, ceilings, outline, walls, config))
 
@@ -146,9 +147,9 @@ def drift_ablation(members: DataFrame, profile: str = "fast", structure: Structu
     poses = base.poses.select("capture_id", F.col("ty").alias("y"))
     control = measure(base.cloud, poses, structure)
     floor = control.floors.select("capture_id", "nx", "ny", "nz", "d")
-    residuals = drift.frame_residuals(base.points, floor, KEY, "frame_id", config)
+    residuals = cut(drift.frame_residuals(base.points, floor, KEY, "frame_id", config))
     enough = residuals.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") >= config.minimum_frames)
-    offsets = drift.pose_offsets(drift.smoothed(residuals.join(enough.select("capture_id"), KEY), KEY, "frame_id", "residual_m", config.window), floor, KEY, config).persist()
+    offsets = cut(drift.pose_offsets(drift.smoothed(residuals.join(enough.select("capture_id"), KEY), KEY, "frame_id", "residual_m", config.window), floor, KEY, config))
     moved = reconstruct(members, PROFILES[profile], offsets=offsets)
     corrected = measure(moved.cloud, poses, structure)
     arms = _arm(base.cloud, control, "control", config).unionByName(_arm(moved.cloud, corrected, "corrected", config))
