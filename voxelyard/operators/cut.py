@@ -15,7 +15,10 @@ def cut(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        if shared := df.sparkSession.conf.get("spark.checkpoint.dir", None):
+            sc.setCheckpointDir(shared)
+        elif not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='voxelyard-')}")
+        else:
+            sc.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='voxelyard-')}")
     return df.checkpoint(eager=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelyard.functions.columns import cell, finite, percentile
+from voxelyard.operators.cut import cut
 
 NEAR_4 = [(1, 0), (-1, 0), (0, 1), (0, -1)]
 NEAR_8 = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0)]
@@ -55,12 +56,11 @@ def components(cells: DataFrame, by: list[str], rounds: int = 200) -> DataFrame:
     """cells with comp_x, comp_y (the smallest cell of the 4-connected component) and comp_size.
 
     Labels spread to neighbours and then jump to their label's label, so rounds grow with the
-    logarithm of a component's width. Every few rounds the labels are checkpointed (where a folder
-    is set), and the loop ends when nothing changes.
+    logarithm of a component's width. Each round's labels are checkpointed, and the loop ends when
+    nothing changes.
     """
     label = F.struct("cx", "cy")
-    now = cells.select(*by, *KEY).withColumn("label", label)
-    durable = cells.sparkSession.sparkContext.getCheckpointDir() is not None
+    now = cut(cells.select(*by, *KEY).withColumn("label", label))
     for _ in range(rounds):
         steps = F.array(*[F.struct(F.lit(a).cast("long").alias("dx"), F.lit(b).cast("long").alias("dy")) for a, b in [(0, 0), *NEAR_4]])
         told = now.select(*by, *KEY, "label", F.explode(steps).alias("s")).select(
@@ -73,7 +73,7 @@ def components(cells: DataFrame, by: list[str], rounds: int = 200) -> DataFrame:
             spread.withColumn("jx", F.col("least.cx")).withColumn("jy", F.col("least.cy"))
             .join(jump, [*by, "jx", "jy"]).select(*by, *KEY, F.least("least", "further").alias("new"), "label")
         )
-        new = new.checkpoint() if durable else new.persist()
+        new = cut(new)
         changed = new.where("new <> label").limit(1).count()
         now = new.select(*by, *KEY, F.col("new").alias("label"))
         if not changed:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxelyard.config import Reconstruction
 from voxelyard.functions.columns import cell, finite
+from voxelyard.operators.cut import cut
 
 
 def depth_metres(mm: str | Column) -> Column:
@@ -102,8 +103,8 @@ def voxel_fuse(points: DataFrame, size: float, by: list[str] = ["capture_id"], x
 def voxel_fold(points: DataFrame, size: float, batch: str, by: list[str] = ["capture_id"], batches: int | None = None) -> DataFrame:
     """Fusion batch by batch, fused centroids re-entering with weight 1 (a recency-weighted mean).
 
-    batch: column with the frames' batch number from 0. A loop of as many aggregates as batches; each
-    round's cloud is checkpointed where a checkpoint folder is set. voxel_fuse is the unbiased form.
+    batch: column with the frames' batch number from 0. A loop of as many aggregates as batches; every
+    few rounds the cloud is checkpointed. voxel_fuse is the unbiased form.
     """
     if batches is None:
         batches = (points.agg(F.max(batch).alias("m")).first()["m"] or 0) + 1
@@ -114,8 +115,8 @@ def voxel_fold(points: DataFrame, size: float, batch: str, by: list[str] = ["cap
         cloud = voxel_fuse(part if cloud is None else cloud.unionByName(part), size, by).select(
             *by, *[F.col(c).cast("float").alias(c) for c in "xyz"]
         )
-        if b % 8 == 7 and points.sparkSession.sparkContext.getCheckpointDir():
-            cloud = cloud.checkpoint()
+        if b % 8 == 7:
+            cloud = cut(cloud)
     return cloud
 
 

@@ -39,14 +39,14 @@ def reconstruct(members: DataFrame, config: Reconstruction = PROFILES["fast"], e
     """All captures of members at once; `only` keeps the captures it lists (the valid ones)."""
     if only is not None:
         members = members.join(only.select("capture_id"), "capture_id", "left_semi")
-    root = cap.roots(members)
-    poses = cap.poses(members, root).where("problem is null")
-    depth, conf = cap.frame_files(members, root, "depth"), cap.frame_files(members, root, "confidence")
+    root = cut(cap.roots(members))
+    poses = cut(cap.poses(members, root).where("problem is null"))
+    depth, conf = cut(cap.frame_files(members, root, "depth")), cut(cap.frame_files(members, root, "confidence"))
     matched = frames.match_frames(depth.where("code is null"), conf.where("code is null"), poses)
     pick = frames.keyframes if evenly else frames.contiguous
-    wanted = pick(matched, config.maximum_frames)
+    wanted = cut(pick(matched, config.maximum_frames))
     pixels = cap.pixels(members, depth, conf, wanted, config.pixel_stride)
-    cam = cap.camera_matrices(members, root).where("valid").select("capture_id", *[F.col(c).alias(f"k{c}") for c in ("fx", "fy", "cx", "cy")])
+    cam = cut(cap.camera_matrices(members, root)).where("valid").select("capture_id", *[F.col(c).alias(f"k{c}") for c in ("fx", "fy", "cx", "cy")])
     if offsets is not None:
         poses = project.offset_poses(poses, offsets, ["capture_id", "frame_id"])
     posed = project.with_rotation(poses.join(cam, "capture_id"))
@@ -117,6 +117,7 @@ def results(members: DataFrame, profile: str = "fast", structure: Structure = St
     issues, summary = validate.validate(members)
     good = summary.where("valid").select("capture_id")
     got = reconstruct(members, PROFILES[profile], only=good)
+    got.cloud = cut(got.cloud)
     measured = measure(got.cloud, got.poses.select("capture_id", F.col("ty").alias("y")), structure)
     path = frames.trajectory(got.poses, KEY, ["frame_no"], ("tx", "ty", "tz"))
     extent = project.bounds(got.cloud, KEY)
@@ -144,6 +145,7 @@ def drift_ablation(members: DataFrame, profile: str = "fast", structure: Structu
     """Per capture: the verdict on correcting vertical drift. decision is unavailable where too few
     frames see the floor or no offset results."""
     base = reconstruct(members, PROFILES[profile])
+    base.points, base.cloud = cut(base.points), cut(base.cloud)
     poses = base.poses.select("capture_id", F.col("ty").alias("y"))
     control = measure(base.cloud, poses, structure)
     floor = control.floors.select("capture_id", "nx", "ny", "nz", "d")
@@ -151,9 +153,10 @@ def drift_ablation(members: DataFrame, profile: str = "fast", structure: Structu
     enough = residuals.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") >= config.minimum_frames)
     offsets = cut(drift.pose_offsets(drift.smoothed(residuals.join(enough.select("capture_id"), KEY), KEY, "frame_id", "residual_m", config.window), floor, KEY, config))
     moved = reconstruct(members, PROFILES[profile], offsets=offsets)
+    moved.cloud = cut(moved.cloud)
     corrected = measure(moved.cloud, poses, structure)
     arms = _arm(base.cloud, control, "control", config).unionByName(_arm(moved.cloud, corrected, "corrected", config))
-    verdict = drift.judge(arms, KEY, config)
+    verdict = drift.judge(cut(arms), KEY, config)
     usable = offsets.select("capture_id").distinct().withColumn("vy_ok", F.lit(True))
     met = members.select("capture_id").distinct().join(verdict, KEY, "left").join(usable, KEY, "left")
     return met.select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelyard.operators import frames as fr
+from voxelyard.operators.cut import cut
 from voxelyard.sources import capture as cap
 
 
@@ -18,7 +19,7 @@ def validate(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(issues, summary): summary has valid (no error), the counts of frames and of issues."""
     ids = members.select("capture_id").distinct()
     opened = cap.member_problems(members).select("capture_id", F.lit("error").alias("severity"), "code", "message")
-    root = cap.roots(members)
+    root = cut(cap.roots(members))
     no_root = ids.join(root, "capture_id", "left")
     issues = [
         opened,
@@ -35,12 +36,12 @@ def validate(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         issues.append(expectation(met, F.col("size").isNull(), severity, code_missing, F.concat(F.lit("missing: "), "member")))
         if code_empty:
             issues.append(expectation(met, F.col("size") == 0, severity, code_empty, F.concat(F.lit("empty: "), "member")))
-    camera = cap.camera_matrices(members, root)
+    camera = cut(cap.camera_matrices(members, root))
     issues.append(expectation(camera, ~F.col("valid"), "error", "invalid_camera_matrix", F.lit("not a 3 x 3 camera matrix")))
-    poses = cap.poses(members, root)
+    poses = cut(cap.poses(members, root))
     issues.append(expectation(poses, F.col("problem").isNotNull(), "error", "invalid_odometry", F.concat(F.lit("row "), F.col("row_no").cast("string"), F.lit(": "), "problem")))
     good = poses.where("problem is null")
-    depth, conf = cap.frame_files(members, root, "depth"), cap.frame_files(members, root, "confidence")
+    depth, conf = cut(cap.frame_files(members, root, "depth")), cut(cap.frame_files(members, root, "confidence"))
     for files, kind in ((depth, "depth"), (conf, "confidence")):
         for code, severity in (("invalid_frame_filename", "warning"), ("duplicate_frame_file", "error"), ("empty_frame_file", "error")):
             issues.append(expectation(files, F.col("code") == code, severity, code, F.col("member")))
@@ -48,7 +49,7 @@ def validate(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         issues.append(expectation(some, F.col("some").isNull(), "error", f"missing_{kind}_frames", F.lit(f"no valid {kind} frame")))
     d, c = depth.where("code is null"), conf.where("code is null")
     key = ["capture_id", "frame_id"]
-    summary = fr.match_summary(d, c, good, key, ["capture_id"])
+    summary = cut(fr.match_summary(d, c, good, key, ["capture_id"]))
     for stream, name in (("depth", "depth"), ("confidence", "confidence"), ("pose", "odometry")):
         issues.append(expectation(summary, F.col(f"missing_{stream}") > 0, "warning", f"frames_missing_{name}", F.concat(F.col(f"missing_{stream}").cast("string"), F.lit(f" frames lack {name}"))))
     counted = ids.join(summary, "capture_id", "left")
@@ -61,9 +62,10 @@ def validate(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     every = issues[0]
     for i in issues[1:]:
         every = every.unionByName(i)
+    every = cut(every)
     per = every.groupBy("capture_id").agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
     out = counted.join(per, "capture_id", "left").na.fill(0)
-    return every, out.withColumn("valid", F.col("errors") == 0)
+    return every, cut(out.withColumn("valid", F.col("errors") == 0))
 
 
 def _images(members: DataFrame, depth: DataFrame, conf: DataFrame, matched: DataFrame) -> list[DataFrame]:
@@ -72,11 +74,12 @@ def _images(members: DataFrame, depth: DataFrame, conf: DataFrame, matched: Data
     at = F.row_number().over(w.orderBy("frame_id")) - 1
     n = F.count("*").over(w)
     picked = matched.withColumns({"at": at, "n": n}).where("at = 0 or at = n - 1 or at = floor(n / 2)").select("capture_id", "frame_id")
+    picked = cut(picked)
 
     def looked(files: DataFrame, kind: str) -> DataFrame:
         names = files.join(picked, ["capture_id", "frame_id"]).select("capture_id", "frame_id", "member")
         held = members.select("capture_id", cap.normalised(F.col("member")).alias("member"), "content").join(names.drop("frame_id"), ["capture_id", "member"])
-        return cap.inspect(held).join(names, ["capture_id", "member"])
+        return cut(cap.inspect(held).join(names, ["capture_id", "member"]))
 
     d, c = looked(depth, "depth"), looked(conf, "confidence")
     out = [expectation(x, F.col("problem").isNotNull(), "error", "invalid_frame_image", F.concat("member", F.lit(": "), "problem")) for x in (d, c)]
