@@ -42,6 +42,8 @@ MARKS = ".,;:!?&*$%#|)\"-"
 LATIN_END = "\u0250"
 #: The letter that stands for the byte of a space.
 SPACE = "\u0120"
+#: White space but the space and the line feed.
+RARE_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 PACK = [struct.Struct(f"<{n}I").pack for n in range(40)]
 
 
@@ -55,7 +57,7 @@ class CachedTokenizer:
     2 x `cache` parts are remembered, in two generations; results don't depend on it.
     """
 
-    def __init__(self, path: str, cache: int = 400_000) -> None:
+    def __init__(self, path: str, cache: int = 500_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -117,11 +119,7 @@ class CachedTokenizer:
 
     def _cut(self, text: str) -> list[str]:
         parts = text.split(" ")
-        if text.isascii():
-            unsafe = any(x in text for x in ("  ", " \n", " \t", " \r", " \x0b", " \x0c", " \x1c", " \x1d", " \x1e", " \x1f")) or text[-1] == " "
-        else:
-            unsafe = UNSAFE_SPACE.search(text) is not None
-        if not unsafe:
+        if not self._unsafe(text):
             return parts
         out = [parts[0]]
         for p in parts[1:]:
@@ -131,6 +129,15 @@ class CachedTokenizer:
                 out[-1] += " " + p
         return out
 
+    @staticmethod
+    def _unsafe(text: str) -> bool:
+        """Whether white space or the end follows a space, by searches that need no pattern."""
+        if "  " in text or text[-1] == " ":
+            return True
+        if any(c in text for c in RARE_SPACES):
+            return UNSAFE_SPACE.search(text) is not None
+        return "\n" in text and any(line[-1:] == " " for line in text.split("\n"))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text (null: none) as little-endian unsigned 32-bit integers."""
         out = []
