@@ -1,6 +1,7 @@
 """Whole captures, rendered here, from images to measures, in one job."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -89,6 +90,7 @@ def test_truth_and_predictions_meet(spark, batch):
     assert e["box", "floor_area"] == "not_evaluated" and e["wide", "opening_width"] == "missing_prediction" and e["box", "ceiling_height"] in ("passed", "failed")
 
 
+@pytest.mark.skipif(not os.environ.get("VOXELYARD_SLOW"), reason="two reconstructions and two measures: minutes")
 def test_drift_is_judged(spark):
     """A steady capture has nothing to gain: whatever gate speaks, the correction is not accepted."""
     row = runs.drift_ablation(scenes.members(spark, {"still": rendered()}), "fast").first()
