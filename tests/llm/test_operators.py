@@ -454,6 +454,28 @@ def test_chroma_aligns_cut_and_noisy_recordings(spark):
     assert chroma.align(df.where("false"), F.col("rec_id") >= 0, "id", "wav").count() == 0
 
 
+def test_chroma_finds_all_that_brute_force_finds(spark):
+    rng = np.random.default_rng(1)
+    songs = [chroma.melody(list(rng.normal(size=64))) for _ in range(25)]
+    rows = {i: x for i, x in enumerate(songs)} | {100 + i: x + rng.normal(0, 0.3, len(x)) for i, x in enumerate(songs)}
+    rows |= {200 + i: x[64 + 128 * i :] for i, x in enumerate(songs)} | {300: songs[0][:5700], 301: np.concatenate((songs[1], songs[2]))}
+    prints = {i: chroma.packed(x) for i, x in rows.items()}
+    want = {}
+    for q in range(100):
+        for c in prints if q in rows else ():
+            for o in range(-len(prints[q]), len(prints[c])) if c != q else ():
+                a, b = prints[q][max(-o, 0) :], prints[c][max(o, 0) :]
+                n = min(len(a), len(b))
+                differ = int(np.bitwise_count(a[:n] ^ b[:n]).sum())
+                if n >= 24 and differ <= 8 * n:
+                    want.setdefault((q, c), []).append((2 * differ - 32 * n, abs(o), o, differ / (32 * n)))
+    assert all((i, 100 + i) in want and (i, 200 + i) in want for i in range(25))
+    df = spark.createDataFrame([(i, x.astype("<f8").tobytes()) for i, x in rows.items()], "id long, raw binary").repartition(3)
+    got = chroma.align(df, F.col("rec_id") < 100, "id", "raw", decode=lambda b: np.frombuffer(b, "<f8"), round_bytes=4000)
+    links = {(r.rec_id, x["class_id"]): (x["offset"], x["bit_error"]) for r in got.collect() for x in r.links or ()}
+    assert links == {k: min(v)[2:] for k, v in want.items()}
+
+
 def test_wav_round_trip_and_resampling():
     t = np.arange(8000) / 8000
     x = 0.5 * np.sin(2 * np.pi * 440 * t)

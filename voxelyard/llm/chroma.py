@@ -3,12 +3,13 @@
 A recording's spectrum is folded to twelve pitch classes a frame. Sixteen filters over the image of
 pitch classes by frames, each a difference of rectangles read from the integral image, are cut into
 four levels, Gray-coded; the 32 bits of a frame are one packed integer. Two recordings are aligned
-by a histogram of offsets: each key (a pair of packed integers a set distance apart) that both hold
-votes for the difference of its places. At the best offset the share of differing bits decides.
+by how many bits agree at each offset: the correlation of their bits, at all offsets at once by the
+Fourier transform. Nothing needs an integer to be equal, so noisy copies and copies cut off the frame
+grid are found like any other, and at every offset with enough overlap the share of differing bits decides.
 
-Recordings with equal fingerprints are one class, and only classes are joined, so that a recording
-copied into a third of all rows is looked for once. The votes are counted before the best offset
-is chosen, and a key's rows are joined on the key and never paired within one side.
+Recordings with equal fingerprints are one class, and only classes are compared, so that a recording
+copied into a third of all rows is looked for once. Every class that holds a query is compared with
+every class: the work is their product. The sums are integers, told exactly by rounding.
 """
 
 from __future__ import annotations
@@ -144,27 +145,139 @@ def fingerprints(
     )
 
 
-def _keys(rows: DataFrame) -> DataFrame:
-    """name, place, key for each pair of packed integers KEY_STEP frames apart."""
-    n = F.size("prints") - KEY_STEP
-    pairs = F.arrays_zip(F.expr(f"slice(prints, 1, greatest(size(prints) - {KEY_STEP}, 0))").alias("a"), F.expr(f"slice(prints, {KEY_STEP + 1}, greatest(size(prints) - {KEY_STEP}, 0))").alias("b"))
-    return rows.where(n > 0).select("print_id", F.posexplode(pairs).alias("place", "k")).select(
-        "print_id", "place", (F.shiftleft("k.a", 32).bitwiseOR(F.col("k.b"))).alias("key")
-    )
+def _spectra(prints: list[np.ndarray], size: int, kind: type) -> np.ndarray:
+    """Transforms of the bits as 1 and -1: frequency, recording, bit."""
+    signs = np.zeros((len(prints), size, 32), kind)
+    for row, p in zip(signs, prints):
+        row[: len(p)] = ((p[:, None] >> np.arange(32, dtype=np.uint32)) & 1).astype(kind) * 2 - 1
+    return np.ascontiguousarray(np.fft.rfft(signs, axis=1).transpose(1, 0, 2))
+
+
+def _size(least: int) -> int:
+    """The smallest length from least on with no prime factor over 5."""
+    while True:
+        rest = least
+        for f in (2, 3, 5):
+            while rest % f == 0:
+                rest //= f
+        if rest == 1:
+            return least
+        least += 1
+
+
+class _Block:
+    """Some recordings of about one length, with the transforms last asked for."""
+
+    def __init__(self, ids: list[int], prints: list[np.ndarray]) -> None:
+        self.ids, self.prints, self.lengths = ids, prints, np.array([*map(len, prints)])
+        self.longest, self.last, self.got = int(self.lengths.max()), None, None
+
+    def spectra(self, size: int, kind: type) -> np.ndarray:
+        if self.last != (size, kind):
+            self.last, self.got = (size, kind), _spectra(self.prints, size, kind)
+        return self.got
+
+
+def _blocks(ids: list[int], prints: list[np.ndarray], most: int) -> Iterator[_Block]:
+    """Blocks of at most `most` recordings of 128 frames, fewer if they are longer; lengths within a quarter."""
+    order = sorted(range(len(ids)), key=lambda i: len(prints[i]))
+    at = 0
+    while at < len(order):
+        end, first = at + 1, len(prints[order[at]])
+        while end < len(order) and len(prints[order[end]]) <= 1.25 * first and (end - at) * len(prints[order[end]]) < most * 128:
+            end += 1
+        yield _Block([ids[i] for i in order[at:end]], [prints[i] for i in order[at:end]])
+        at = end
+
+
+def alignments(asked: _Block, every: _Block, most_error: float, least_overlap: int) -> list[tuple[int, int, int, int, float]]:
+    """q, print_id, offset, votes, bit_error of each pair that has an offset within most_error."""
+    size = _size(max(asked.longest + every.longest - least_overlap, 2))
+    # the error of the sums is far under 1, which is half the distance of two sums
+    kind = np.float32 if asked.longest * every.longest < 1 << 22 else np.float64
+    product = np.matmul(every.spectra(size, kind), asked.spectra(size, kind).conj().transpose(0, 2, 1))
+    agree = np.fft.irfft(np.ascontiguousarray(product.transpose(1, 2, 0)), size, axis=2)
+    offset = np.arange(size)
+    offset[offset > every.longest - least_overlap] -= size
+    one = len({*asked.lengths.tolist()}) == 1 == len({*every.lengths.tolist()})
+    q_len, c_len = (asked.lengths[:1], every.lengths[:1]) if one else (asked.lengths, every.lengths)
+    overlap = np.minimum(q_len[None, :, None] - np.maximum(-offset, 0), c_len[:, None, None] - np.maximum(offset, 0))
+    need = np.where(overlap >= least_overlap, 32 * overlap * (1 - 2 * most_error) - 1, np.inf).astype(kind)
+    c, q, k = np.nonzero(agree >= need)
+    frames = np.broadcast_to(overlap, agree.shape)[c, q, k]
+    net = 2 * np.rint(agree[c, q, k].astype(float) / 2).astype(np.int64)
+    error = (32 * frames - net) / (64 * frames)
+    good = error <= most_error
+    c, q, at, net, error = c[good], q[good], offset[k[good]], net[good], error[good]
+    order = np.lexsort((at, np.abs(at), -net, q, c))
+    c, q, at, error = c[order], q[order], at[order], error[order]
+    first = np.ones(len(c), bool)
+    first[1:] = (c[1:] != c[:-1]) | (q[1:] != q[:-1])
+    out = []
+    for i, j, o, e in zip(c[first].tolist(), q[first].tolist(), at[first].tolist(), error[first].tolist()):
+        if every.ids[i] != asked.ids[j]:
+            a, b = asked.prints[j][max(-o, 0) :], every.prints[i][max(o, 0) :]
+            same = a[: len(b)] == b[: len(a)]
+            out.append((asked.ids[j], every.ids[i], o, int((same[:-KEY_STEP] & same[KEY_STEP:]).sum()), e))
+    return out
+
+
+def _listed(batch: pa.RecordBatch | pa.Table, least: int) -> tuple[list[int], list[np.ndarray]]:
+    """print_id and prints of the rows of at least so many frames."""
+    ids, prints = batch.column(0).to_pylist(), batch.column(1)
+    ends = np.cumsum(prints.value_lengths().to_numpy(zero_copy_only=False))[:-1] if len(ids) else []
+    parts = np.split(prints.flatten().to_numpy(zero_copy_only=False).astype(np.uint32), ends) if len(ids) else []
+    keep = [i for i, p in enumerate(parts) if len(p) >= least]
+    return [ids[i] for i in keep], [parts[i] for i in keep]
+
+
+def _search(classes: DataFrame, most_error: float, least_overlap: int, round_bytes: int) -> DataFrame:
+    """q, print_id, offset, votes, bit_error for the classes asked against all classes.
+
+    The asked ones are broadcast in rounds of round_bytes (their transforms take about sixty times
+    that in a task); the others stay where they are.
+    """
+    spark = classes.sparkSession
+    dealt = classes.select("print_id", "prints").repartition(4 * spark.sparkContext.defaultParallelism, "print_id")
+    asked = classes.where("asked").select("print_id", "prints")
+    rounds = max(1, -(-int(asked.agg(F.coalesce(F.sum(F.size("prints") * 4), F.lit(0)).alias("b")).first()["b"]) // round_bytes))
+    found: DataFrame | None = None
+    for r in range(rounds):
+        part = (asked if rounds == 1 else asked.where(F.pmod(F.xxhash64("print_id"), F.lit(rounds)) == r)).toArrow().combine_chunks()
+        sent = spark.sparkContext.broadcast([x for b in part.to_batches() for x in zip(*_listed(b, least_overlap))])
+
+        def work(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            blocks = [*_blocks([i for i, _ in sent.value], [p for _, p in sent.value], 64)]
+            for b in batches:
+                for every in _blocks(*_listed(b, least_overlap), 256):
+                    for block in blocks:
+                        got = alignments(block, every, most_error, least_overlap)
+                        if got:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(x, t) for x, t in zip(zip(*got), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64()))],
+                                ["q", "print_id", "offset", "votes", "bit_error"],
+                            )
+
+        one = dealt.mapInArrow(work, "q long, print_id long, offset int, votes long, bit_error double")
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 def align(
     recordings: DataFrame, queries: F.Column, id_col: str, media_col: str,
-    decode: Callable[[object], np.ndarray | None] = decode_wav, least_votes: int = 3, most_error: float = 0.25, least_overlap: int = 24,
+    decode: Callable[[object], np.ndarray | None] = decode_wav, most_error: float = 0.25, least_overlap: int = 24,
+    round_bytes: int = 2 << 20,
 ) -> DataFrame:
     """Per row: rec_id, n_prints, class_id (smallest id with the same prints), n_links, links.
 
     queries: a predicate on rec_id. The classes that hold a query are searched against all classes;
-    links (array<struct<class_id, offset, votes, bit_error>>, by class_id) are those at whose best
-    offset at most most_error of the bits differ over at least least_overlap frames; offset is the
-    link's place less the query's. Rows without prints have class_id and links null and n_links 0; so do
-    recordings whose class holds no query (n_links null, links null). Ties of votes go to the smallest
-    offset. Other columns are not read, whatever their names.
+    links (array<struct<class_id, offset, votes, bit_error>>, by class_id) are those with an offset
+    at which at most most_error of the bits differ over at least least_overlap frames, all of them.
+    Of such offsets the one is given at which most bits agree, less those that differ; ties go to the
+    offset nearest to zero, then to the smaller. offset is the link's place less the query's; votes
+    are the keys (packed integers KEY_STEP frames apart) that are equal there, none of which is
+    needed. Rows without prints have class_id and links null and n_links 0; so do
+    recordings whose class holds no query (n_links null, links null). Other columns are not read, whatever their names.
     """
     prints = stage(fingerprints(recordings, id_col, media_col, decode), "chroma")
     classes = stage(
@@ -173,27 +286,7 @@ def align(
         ),
         "classes",
     )
-    every = _keys(classes)
-    asked = _keys(classes.where("asked")).select(F.col("print_id").alias("q"), F.col("place").alias("q_place"), "key")
-    # a key that a class holds often (a held note) counts once for each class and offset
-    votes = (
-        asked.join(every, "key").where("q <> print_id")
-        .groupBy("q", "print_id", (F.col("place") - F.col("q_place")).alias("offset")).agg(F.count("*").alias("votes"))
-        .groupBy("q", "print_id").agg(F.max(F.struct("votes", (-F.abs("offset")).alias("near"), (-F.col("offset")).alias("minus"))).alias("best"))
-        .where(F.col("best.votes") >= least_votes)
-        .select("q", "print_id", (-F.col("best.minus")).alias("offset"), F.col("best.votes").alias("votes"))
-    )
-    sides = classes.select("print_id", "class_id", "prints")
-    both = (
-        votes.join(sides, "print_id")
-        .join(sides.select(F.col("print_id").alias("q"), F.col("prints").alias("q_prints")), "q")
-    )
-    a = F.expr("slice(q_prints, greatest(1 - offset, 1), greatest(0, least(size(q_prints) - greatest(-offset, 0), size(prints) - greatest(offset, 0))))")
-    b = F.expr("slice(prints, greatest(1 + offset, 1), greatest(0, least(size(q_prints) - greatest(-offset, 0), size(prints) - greatest(offset, 0))))")
-    measured = both.withColumn("a", a).withColumn("b", b).withColumn(
-        "bit_error",
-        F.expr("aggregate(zip_with(a, b, (x, y) -> bit_count(x ^ y)), 0L, (s, x) -> s + x) / (32D * greatest(size(a), 1))"),
-    ).where((F.size("a") >= least_overlap) & (F.col("bit_error") <= most_error))
+    measured = _search(classes, most_error, least_overlap, round_bytes).join(classes.select("print_id", "class_id"), "print_id")
     links = measured.groupBy("q").agg(
         F.array_sort(F.collect_list(F.struct("class_id", "offset", "votes", "bit_error"))).alias("links")
     )
