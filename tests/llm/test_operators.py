@@ -232,6 +232,31 @@ def test_similar_keeps_one_of_each_group(spark, empty):
     assert simhash.keep_first(empty, simhash.similar(empty)).count() == 0 and simhash.near_duplicates(empty).count() == 0
 
 
+def test_similar_links_exactly_what_has_the_similarity(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=8))
+    texts, pairs = [], []
+    for n in [8, 9, 10, 12, 16, 30, 50, 79, 120, 454, 3000] * 3:  # words; words added at the end, similarity n - 4 to n - 4 + added
+        for added in (0, (n - 4) // 4, (n - 4) // 4 + 1):
+            base = [word() for _ in range(n)]
+            pairs.append((n - 4) / (n - 4 + added) >= 0.8)
+            texts += [" ".join(base), " ".join(base + [word() for _ in range(added)])]
+    for changed in range(10):  # words changed in the middle
+        base = [word() for _ in range(204)]
+        other = [word() if i % 20 == 10 and i // 20 < changed else w for i, w in enumerate(base)]
+        same = 200 - 5 * changed
+        pairs.append(same / (400 - same) >= 0.8)
+        texts += [" ".join(base), " ".join(other)]
+    assert 30 < sum(pairs) < len(pairs) - 30
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    hub = [word() for _ in range(104)]  # more near copies than a chunk holds
+    rows += [(10_000 + i, " ".join(hub[: 104 - i % 5] + [word() for _ in range(i % 3)]), None, None) for i in range(60)]
+    for shard_rows in (1024, 16):
+        got = {r.doc_id: r.component_id for r in simhash.similar(frame(spark, rows).repartition(3), shard_rows=shard_rows).collect()}
+        assert [got[2 * i + 1] == 2 * i for i in range(len(pairs))] == pairs
+        assert all(got[2 * i] == 2 * i for i in range(len(pairs))) and {v for k, v in got.items() if k >= 10_000} == {10_000}
+
+
 # ---- 4
 
 

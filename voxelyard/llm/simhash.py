@@ -15,10 +15,10 @@ executor. The number of blocks follows the number of fingerprints, so that a sha
 size; what is linked doesn't depend on it. Out of a pair of chunks come only the links of a spanning
 forest, at most one for each fingerprint, never all pairs.
 
-Blocks serve small radii. For a wide radius (a similarity of 0.8 on five-word shingles) `similar`
-uses fingerprints of 512 bits over the distinct shingles, which tell near copies from texts that
-share passages, and deals them by the smallest shingle hashes of their texts instead; the trees,
-chunks and links are the same.
+Blocks serve small radii. For a similarity of 0.8 on five-word shingles `similar` searches the trees
+for candidates, by prints whose distance never exceeds the number of shingles that two texts don't
+share, in shards of the smallest shingle hashes; then all shingles of the candidates meet, and only
+texts whose exact Jaccard similarity is high enough are linked.
 """
 
 from __future__ import annotations
@@ -158,15 +158,16 @@ def _forest(tree_side: list[int], query_side: list[int] | None, radius: int) ->
     return forest.links
 
 
-def _wide_forest(names: np.ndarray, prints: np.ndarray, queries: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
+def _wide_forest(names: np.ndarray, prints: np.ndarray, queries: np.ndarray | None, radius: int | np.ndarray) -> list[tuple[int, int]]:
     """As _forest, for prints of several 64-bit words, on whole arrays of queries at once.
 
-    names: what links are made of. queries: positions of the query side, or None for all. A BK-tree
+    names: what links are made of. radius: one, or that of each print when it asks. queries: positions of the query side, or None for all. A BK-tree
     built from the top down: a node's children are its other prints by their distance to it. The
     queries move down together; one follows the edges within the radius of its own distance.
     """
     forest = _Forest()
     inside = queries is None
+    radius = np.broadcast_to(radius, len(names))
     tree = np.arange(len(names)) if inside else np.setdiff1d(np.arange(len(names)), queries)
     todo = [(tree, tree if inside else queries)]
     while todo:
@@ -175,7 +176,7 @@ def _wide_forest(names: np.ndarray, prints: np.ndarray, queries: np.ndarray | No
             continue
         node, below = nodes[0], nodes[1:]
         far = np.bitwise_count(prints[asking] ^ prints[node]).sum(1, dtype=np.int64)
-        for q in asking[far <= radius].tolist():
+        for q in asking[far <= radius[asking]].tolist():
             if q != node:
                 forest.link(int(names[q]), int(names[node]))
         if not len(below):
@@ -184,7 +185,7 @@ def _wide_forest(names: np.ndarray, prints: np.ndarray, queries: np.ndarray | No
         order = np.argsort(apart, kind="stable")
         edges, first = np.unique(apart[order], return_index=True)
         for edge, part in zip(edges.tolist(), np.split(below[order], first[1:])):
-            todo.append((part, asking[np.abs(far - edge) <= radius]))
+            todo.append((part, asking[np.abs(far - edge) <= radius[asking]]))
     return forest.links
 
 
@@ -288,71 +289,114 @@ def near_duplicates(
     )
 
 
-def wide_print(hashes: np.ndarray, words: int = 8) -> np.ndarray:
-    """64 bits for each word: the votes of the hashes and of mixes of them."""
-    out = []
-    for k in range(words):
-        h = hashes if not k else _mixed(hashes, k)
-        out.append(vote(h) if len(h) else 0)
-    return np.array(out, np.uint64)
+def parity_print(hashes: np.ndarray, words: int = 8) -> np.ndarray:
+    """64 x words bits of distinct hashes: a bit is 1 if an odd number of them fall on it.
 
+    A hash that only one of two sets holds changes one bit, so prints differ in no more bits than
+    the sets differ in hashes.
+    """
+    odd = np.bincount((hashes & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def _verified(
+    names: np.ndarray, sets: list[np.ndarray], queries: np.ndarray | None, similarity: float
+) -> list[tuple[int, int]]:
+    """Links of a spanning forest of all pairs whose exact Jaccard similarity is high enough.
 
-def _mixed(h: np.ndarray, k: int) -> np.ndarray:
-    z = h + np.uint64(0x9E3779B97F4A7C15 * k & _ALL)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
+    sets: distinct hashes. queries: positions of the query side, or None for all. Prints and sizes
+    only rule out what cannot be similar.
+    """
+    prints = np.stack([parity_print(x) for x in sets])
+    sizes = np.array([*map(len, sets)])
+    label = np.arange(len(names))
+    tree = label.copy() if queries is None else np.setdiff1d(label, queries)
+    links = []
+    for q in (tree if queries is None else queries).tolist():
+        near = tree[tree < q] if queries is None else tree
+        near = near[label[near] != label[q]]
+        near = near[np.minimum(sizes[near], sizes[q]) >= similarity * np.maximum(sizes[near], sizes[q]) - 1e-9]
+        most = (1 - similarity) / (1 + similarity) * (sizes[near] + sizes[q]) + 1e-9
+        near = near[np.bitwise_count(prints[near] ^ prints[q]).sum(1, dtype=np.int64) <= most]
+        for c in near.tolist():
+            if label[c] == label[q]:
+                continue
+            both = len(np.intersect1d(sets[q], sets[c], assume_unique=True))
+            if both / (sizes[q] + sizes[c] - both) >= similarity:
+                links.append((int(names[q]), int(names[c])))
+                label[label == label[c]] = label[q]
+    return links
 
 
 def similar(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
-    deals: int = 8, shard_rows: int = 1024, words: int = 8,
+    deals: int = 16, shard_rows: int = 1024, words: int = 8,
 ) -> DataFrame:
-    """Per row: doc_id, text_hash, node, root (longs), component_id: groups of texts whose five-word shingles are
-    similar, by fingerprints of 64 x words bits within the radius that goes with the similarity.
-
-    Fingerprints of shingle sets of Jaccard similarity s differ in about acos(2 s / (1 + s)) / pi of
-    their bits; the radius adds 1.3 standard deviations, so that about 90 % of pairs at exactly s, and
-    nearly all a little above, are within it. A text is dealt to the shards of its `deals` smallest shingle
-    hashes: of two texts with Jaccard s, 1 - (1 - s)^deals of all pairs meet. Edge cases are as in
-    near_duplicates: null and empty texts have the print zero and are one group.
+    """Per row: doc_id, text_hash, node, root (longs), component_id: groups of texts linked where the Jaccard similarity of
+    their distinct five-word shingles (by hash) is at least `similarity`.
+
+    Candidates: a text is dealt to the shards of its `deals` smallest shingle hashes. Texts of up to
+    deals / (1 - s) - 1 shingles that are similar always meet; larger ones miss each other with a probability under
+    (1 - s)^deals, 7e-12. In a shard the trees find the prints within (1 - s) / s times the size of
+    the one that asks, which no similar pair exceeds. All texts that hang together by candidates meet
+    with their whole sets of shingles, and the exact similarity decides. A node is a set of shingles.
+    Null and empty texts have none and are one group; other edge cases are as in near_duplicates.
     """
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    bits = 64 * words
-    radius = round(bits * share + 1.3 * np.sqrt(bits * share * (1 - share)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in pieces(whole):
                 got = [np.unique(shingle_hashes(t, shingle)) for t in b.column(1).to_pylist()]
-                sigs = [wide_print(h, words) for h in got]
-                names = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sigs], np.uint64).view(np.int64)
+                names = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in got], np.uint64).view(np.int64)
+                sigs = [parity_print(h, words).view(np.int64) for h in got]
                 least = [h[:deals].view(np.int64) for h in got]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(2), pa.array(names), pa.array([s.view(np.int64) for s in sigs], pa.list_(pa.int64())), pa.array(least, pa.list_(pa.int64()))],
-                    ["doc_id", "text_hash", "node", "sig", "least"],
+                    [
+                        b.column(0), b.column(2), pa.array(names), pa.array([*map(len, got)], pa.int64()),
+                        pa.array(sigs, pa.list_(pa.int64())), pa.array(least, pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "text_hash", "node", "size", "sig", "least"],
                 )
 
     key = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     prints = stage(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
-        .mapInArrow(work, f"doc_id {key}, text_hash long, node long, sig array<long>, least array<long>"),
-        "prints",
+        texts.mapInArrow(work, f"doc_id {key}, text_hash long, node long, size long, sig array<long>, least array<long>"), "prints"
     )
     nodes = stage(
-        prints.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("sig").alias("sig"), F.min("least").alias("least")), "nodes"
+        prints.groupBy("node").agg(
+            F.min("doc_id").alias("least_id"), F.min("text_hash").alias("text_hash"), F.min("size").alias("size"),
+            F.min("sig").alias("sig"), F.min("least").alias("least"),
+        ),
+        "nodes",
     )
     dealt = nodes.select(
-        F.col("node").alias("fp"), F.lit(0).alias("part"), F.explode("least").alias("bits"),
+        F.col("node").alias("fp"), F.lit(0).alias("part"), F.explode("least").alias("bits"), "size",
         *[F.col("sig")[i].alias(f"w{i}") for i in range(words)],
     )
 
     def search(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
         sigs = np.stack([g[f"w{i}"].view(np.uint64) for i in range(words)], axis=1)
         queries = None if g["i"][0] == g["j"][0] else np.flatnonzero(g["in_tree"] != 1)
-        return _wide_forest(g["fp"], sigs, queries, radius)
+        return _wide_forest(g["fp"], sigs, queries, np.floor((1 - similarity) / similarity * g["size"] + 1e-9).astype(np.int64))
+
+    near = components(_in_shards(dealt, search, shard_rows)).withColumnRenamed("root", "bits")
+    asked = nodes.join(near, "node").select("node", "bits", F.col("text_hash").alias("asked_hash"))
+    whole = asked.join(texts, F.col("asked_hash") == F.col("text_hash")).dropDuplicates(["node"]).select("node", "bits", "text")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in pieces(b, 2):
+                got = [np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in part.column(2).to_pylist()]
+                zero = pa.array(np.zeros(part.num_rows, np.int32))
+                yield pa.RecordBatch.from_arrays([part.column(0), zero, part.column(1), pa.array(got, pa.list_(pa.int64()))], ["fp", "part", "bits", "hashes"])
+
+    def verify(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+        queries = None if g["i"][0] == g["j"][0] else np.flatnonzero(g["in_tree"] != 1)
+        return _verified(g["fp"], [h.view(np.uint64) for h in g["hashes"]], queries, similarity)
 
-    roots = components(_in_shards(dealt, search, shard_rows))
+    met = stage(whole.mapInArrow(sets, "fp long, part int, bits long, hashes array<long>"), "shingles")
+    roots = components(_in_shards(met, verify, shard_rows))
     labelled = nodes.select("node", "least_id").join(roots.withColumnRenamed("node", "node_"), F.col("node") == F.col("node_"), "left").select(
         "node", "least_id", F.coalesce("root", "node").alias("root")
     )
