@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ from voxelyard.llm.common import pieces
 #: The byte-level pre-tokenizer's pattern (a fixed value of the file format).
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A space that the cut before it would not be right for: white space or the end follows.
+PAIR = struct.Struct("<2I").pack
 UNSAFE_SPACE = regex.compile(r" (?:\s|$)")
 
 
@@ -39,6 +41,42 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class PairTable:
+    """Ranks of pairs of ids, looked up for whole arrays: open addressing, linear probing."""
+
+    def __init__(self, ranks: dict[int, int], none: int) -> None:
+        self.bits = max(10, (4 * len(ranks)).bit_length())
+        self.none, size = none, 1 << self.bits
+        self.keys, self.found = np.full(size, -1, np.int64), np.full(size, none, np.int64)
+        keys, found = np.fromiter(ranks, np.int64, len(ranks)), np.fromiter(ranks.values(), np.int64, len(ranks))
+        at = self._home(keys)
+        while len(keys):
+            # of the keys that want a free place, one takes it; the others go on to the next place
+            free = self.keys[at] == -1
+            _, first = np.unique(at[free], return_index=True)
+            won = np.flatnonzero(free)[first]
+            self.keys[at[won]], self.found[at[won]] = keys[won], found[won]
+            left = np.ones(len(keys), bool)
+            left[won] = False
+            keys, found, at = keys[left], found[left], (at[left] + 1) & (size - 1)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at = self._home(keys)
+        seen = self.keys[at]
+        out = np.where(seen == keys, self.found[at], self.none)
+        todo = np.flatnonzero((seen != keys) & (seen != -1))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & (len(self.keys) - 1)
+            seen = self.keys[at[todo]]
+            hit = seen == keys[todo]
+            out[todo[hit]] = self.found[at[todo[hit]]]
+            todo = todo[~hit & (seen != -1)]
+        return out
+
+
 class SpeculativeBPE:
     """Encodes and decodes as the tokenizers library does with the same file.
 
@@ -63,6 +101,8 @@ class SpeculativeBPE:
             self.merges.setdefault((names[a], names[b]), (rank, names[a + b]))
         self.ranks = {a << 20 | b: rank for (a, b), (rank, _) in self.merges.items()}
         self.made = [names[(m if isinstance(m, str) else "".join(m)).replace(" ", "")] for m in model["merges"]]
+        self.table = PairTable(self.ranks, len(self.made))
+        self.made_ids, self.byte_ids = np.array([*self.made, 0], np.int64), np.array(self.by_byte, np.int64)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
             raise ValueError("added tokens that strip or match whole words are not supported")
@@ -130,6 +170,60 @@ class SpeculativeBPE:
                     heapq.heappush(heap, (m[0], x, ids[x], ids[y], m[1]))
         return [i for i in ids if i >= 0]
 
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word by merging, as little-endian unsigned 32-bit integers.
+
+        Words of about one length are the rows of a matrix, all merged at once: in each step each row
+        merges its leftmost pair of the lowest rank. Words of over 64 bytes are merged one by one.
+        """
+        out = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for low, high in ((0, 6), (6, 10), (10, 16), (16, 28), (28, 64)):
+            mine = np.flatnonzero((sizes > low) & (sizes <= high))
+            for at in range(0, len(mine), 8192):
+                part = mine[at : at + 8192].tolist()
+                for k, ids in zip(part, self._merge_rows([words[k] for k in part], high)):
+                    out[k] = ids
+        for k in np.flatnonzero(sizes > 64).tolist():
+            out[k] = np.array(self.merge(words[k]), "<u4").tobytes()
+        return out
+
+    def _merge_rows(self, words: list[bytes], width: int) -> list[bytes]:
+        none, n = self.table.none, len(words)
+        flat = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(n, width)
+        size = np.fromiter(map(len, words), np.int64, n)
+        ids = self.byte_ids[flat]
+        ranks = self.table.get(((ids[:, :-1] << 20) | ids[:, 1:]).ravel()).reshape(n, width - 1)
+        ranks[np.arange(width - 1) >= size[:, None] - 1] = none
+        done = np.zeros((n, width), "<u4")
+        rows, places, size_of = np.arange(n), np.arange(width), size.copy()
+        while len(rows):
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(rows)), at]
+            end = best == none
+            if end.any():
+                done[rows[end]] = ids[end]
+                go = ~end
+                rows, ids, ranks, size, at, best = rows[go], ids[go], ranks[go], size[go], at[go], best[go]
+                if not len(rows):
+                    break
+            one = np.arange(len(rows))
+            ids[one, at] = self.made_ids[best]
+            # what lies behind the merged pair moves one place to the left
+            ids = np.take_along_axis(ids, np.minimum(places + (places > at[:, None]), width - 1), 1)
+            ranks = np.take_along_axis(ranks, np.minimum(places[:-1] + (places[:-1] >= at[:, None]), width - 2), 1)
+            size -= 1
+            ranks[one, size - 1] = none
+            right = np.flatnonzero(at < size - 1)
+            x = at[right]
+            ranks[right, x] = self.table.get((ids[right, x] << 20) | ids[right, x + 1])
+            left = np.flatnonzero(at > 0)
+            x = at[left]
+            ranks[left, x - 1] = self.table.get((ids[left, x - 1] << 20) | ids[left, x])
+            size_of[rows] = size
+        raw, ends = done.tobytes(), size_of.tolist()
+        return [raw[4 * width * i : 4 * (width * i + e)] for i, e in enumerate(ends)]
+
     # ---- speculation
 
     def greedy(self, word: bytes) -> list[int]:
@@ -147,13 +241,12 @@ class SpeculativeBPE:
         """Whether each pair (first id << 32 | second id) is compatible."""
         unique, where = np.unique(pairs, return_inverse=True)
         known = self.compatible
-        good = np.empty(len(unique), bool)
-        for k, key in enumerate(unique.tolist()):
-            if (ok := known.get(key)) is None:
-                a, b = key >> 32, key & 0xFFFFFFFF
-                ok = self.merge(self.token_bytes[a] + self.token_bytes[b]) == [a, b]
-                known[key] = ok
-            good[k] = ok
+        keys = unique.tolist()
+        new = [k for k in keys if k not in known]
+        token = self.token_bytes
+        alone = self.merge_all([token[k >> 32] + token[k & 0xFFFFFFFF] for k in new])
+        known.update((k, ids == PAIR(k >> 32, k & 0xFFFFFFFF)) for k, ids in zip(new, alone))
+        good = np.fromiter(map(known.__getitem__, keys), bool, len(keys))
         if len(known) > 4 * self.limit:
             known.clear()
         return good[where]
@@ -176,8 +269,9 @@ class SpeculativeBPE:
         raw = flat.astype("<u4").tobytes()
         cuts = [0, *(ends * 4).tolist()]
         out = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-        for k in bad:
-            out[k] = np.array(self.merge(words[k]), "<u4").tobytes()
+        wrong = [*bad]
+        for k, ids in zip(wrong, self.merge_all([words[k] for k in wrong])):
+            out[k] = ids
         self.guessed_words += len(words)
         self.exact_words += len(bad)
         return out
@@ -187,15 +281,23 @@ class SpeculativeBPE:
     def _learn(self, chunks: Iterable[str]) -> None:
         """Put the chunks into the cache."""
         split = self.pre_token.findall
-        cut = [(c, split(c)) for c in chunks]
+        plain, cut = [], []
+        for c in chunks:
+            if c.isascii() and (c[1:] if c[0] == " " else c).isalpha():
+                plain.append(c)  # one pre-token
+            else:
+                cut.append((c, split(c)))
         words = self.words
-        new = list({w for _, ws in cut for w in ws if w not in words})
+        new = {w for _, ws in cut for w in ws}.union(plain).difference(words)
         if len(words) + len(new) > self.limit:
             words.clear()
-            new = list({w for _, ws in cut for w in ws})
-        words.update(zip(new, self.encode_words([w.encode() for w in new])))
+            new = {w for _, ws in cut for w in ws}.union(plain)
+        listed = [*new]
+        words.update(zip(listed, self.encode_words([*map(str.encode, listed)])))
+        chunks_of, get = self.chunks, words.__getitem__
+        chunks_of.update(zip(plain, map(get, plain)))
         for c, ws in cut:
-            self.chunks[c] = b"".join(map(words.__getitem__, ws))
+            chunks_of[c] = b"".join(map(get, ws))
 
     def _cut(self, text: str) -> list[str]:
         """Chunks that join to the text and whose pre-tokens are those of the text."""
@@ -251,6 +353,15 @@ class SpeculativeBPE:
         )
 
 
+class _Decimal(dict):
+    """Decimal strings of ids, made when first asked for; no more than the vocabulary has."""
+
+    def __missing__(self, i: int) -> str:
+        self[i] = text = str(i)
+        return text
+
+
+_DECIMAL = _Decimal()
 _LOADED: dict[tuple[str, int], SpeculativeBPE] = {}
 
 
@@ -294,4 +405,4 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
 def sha256_of_ids(ids: bytes) -> str:
     """Hex SHA-256 of the decimal ids joined by commas."""
-    return hashlib.sha256(",".join(map(str, np.frombuffer(ids, "<u4").tolist())).encode()).hexdigest()
+    return hashlib.sha256(",".join(map(_DECIMAL.__getitem__, np.frombuffer(ids, "<u4").tolist())).encode()).hexdigest()
