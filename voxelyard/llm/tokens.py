@@ -57,7 +57,7 @@ class CachedTokenizer:
     2 x `cache` parts are remembered, in two generations; results don't depend on it.
     """
 
-    def __init__(self, path: str, cache: int = 500_000) -> None:
+    def __init__(self, path: str, cache: int = 200_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -185,7 +185,8 @@ def write(docs: DataFrame, to: str, tokenizer: str, end_id: int = 2, id_col: str
 
     Null and empty texts hold end_id alone; null ids come first; equal ids are ordered by their text,
     repeated rows stay. Other columns are not read, whatever their names. An empty table writes an
-    empty folder. One shuffle, of the texts, by ranges of the id.
+    empty folder. One shuffle, of the texts, by ranges of the id; rows of one id that a third of the
+    table may share are cut further, by the beginning of their text and their place in the table.
     """
     key = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
@@ -207,8 +208,9 @@ def write(docs: DataFrame, to: str, tokenizer: str, end_id: int = 2, id_col: str
 
     (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-        .mapInArrow(work, f"shard int, doc_id {key}, offset long, n_tokens long, tokens array<int>")
+        .withColumn("tie", F.monotonically_increasing_id())
+        .repartitionByRange("doc_id", F.substring("text", 1, 40), "tie").sortWithinPartitions("doc_id", "text")
+        .select("doc_id", "text").mapInArrow(work, f"shard int, doc_id {key}, offset long, n_tokens long, tokens array<int>")
         .write.options(**WRITER).parquet(to)
     )
 
@@ -225,6 +227,7 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path).select("shard", "doc_id", "offset", "n_tokens")
     totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     before = totals.select("shard", (F.sum("total").over(Window.orderBy("shard")) - F.col("total")).alias("before"))
+    # a row of two numbers a file: no more than the writing job had tasks
     return rows.join(F.broadcast(before), "shard").select("doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "shard")
 
 
@@ -252,6 +255,7 @@ def read_checked(spark: SparkSession, path: str) -> DataFrame:
     found = files.select("shard", "doc_id", "offset", "tokens").mapInArrow(
         work, f"shard int, doc_id {key}, offset long, n_tokens long, ids_crc32 long"
     )
+    # a row of two numbers a file: no more than the writing job had tasks
     return found.join(F.broadcast(before), "shard").select(
         "doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
