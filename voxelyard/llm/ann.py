@@ -7,10 +7,12 @@ on its error. Pairs whose upper bound reaches the fifth best lower bound of thei
 are computed again in double precision on the original vectors. Heaps hold each query's best over
 the tiles of a task; the heaps of all tasks are merged by one more.
 
-The queries are a stated set. They are broadcast in rounds of at most `round_bytes`, so what is
-broadcast has a bound that doesn't grow with the data; the candidates are scanned where they lie and
-never shuffled, and only `k` rows a query and task move. Nothing is cut from the candidates: the
-result is exact.
+The queries are a stated set. Both sides are dealt to blocks by a hash of the id: a block of queries meets
+a block of candidates in one group of rows, keyed by the two blocks. A query is copied to each block of
+candidates and a candidate to each block of queries; the numbers of blocks follow the bytes of the two
+sides (`block_bytes` a block), so that a task holds one block of queries, streams candidates past it and
+sends on at most `k` rows a query. Nothing goes through the driver, and nothing is cut from the
+candidates: the result is exact.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Codes (integers in float32), scale, length of the coded vector, length of its error."""
-    unit = vectors / np.sqrt(np.square(vectors / (big := np.abs(vectors).max(1, keepdims=True))).sum(1, keepdims=True)) / big
+    unit = vectors / np.abs(vectors).max(1, keepdims=True)
+    unit = unit / np.sqrt(np.square(unit).sum(1, keepdims=True))
     scale = np.abs(unit).max(1) / 127
     codes = np.rint(unit / scale[:, None])
     coded = codes * scale[:, None]
@@ -36,15 +39,23 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosines of the rows of a and b, in double precision, each sum taken from left to right."""
+    """Cosines of the rows of a and b, in double precision, each sum taken from left to right.
+
+    Rows whose squares leave the range of doubles are scaled by their largest component first.
+    """
     dot = np.zeros(len(a))
     one, two = np.zeros(len(a)), np.zeros(len(a))
-    for d in range(a.shape[1]):
-        dot += a[:, d] * b[:, d]
-        one += a[:, d] * a[:, d]
-        two += b[:, d] * b[:, d]
-    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore", under="ignore"):
+        for d in range(a.shape[1]):
+            dot += a[:, d] * b[:, d]
+            one += a[:, d] * a[:, d]
+            two += b[:, d] * b[:, d]
         plain = dot / (np.sqrt(one) * np.sqrt(two))
+    tiny, huge = 1e-280, 1e280
+    odd = np.flatnonzero((one < tiny) | (one > huge) | (two < tiny) | (two > huge) | ~np.isfinite(plain))
+    if len(odd):
+        a, b = (x[odd] / np.abs(x[odd]).max(1, keepdims=True) for x in (a, b))
+        plain[odd] = (a * b).sum(1) / np.sqrt(np.square(a).sum(1) * np.square(b).sum(1))
     return np.clip(plain, -1.0, 1.0)
 
 
@@ -77,6 +88,11 @@ class Heaps:
         elif (score, -vec_id) > heap[0]:
             heapq.heapreplace(heap, (score, -vec_id))
 
+    def out(self) -> Iterator[pa.RecordBatch]:
+        rows = [(q, -v, s) for q, h in self.of.items() for s, v in h]
+        for at in range(0, len(rows), 100_000):
+            yield _found(rows[at : at + 100_000])
+
 
 def tile(queries: tuple, cands: tuple, heaps: Heaps, k: int) -> None:
     """Push what survives of a block of queries against a block of candidates."""
@@ -114,41 +130,65 @@ def blocked(ids: np.ndarray, rows: np.ndarray, size: int) -> Iterator[tuple]:
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-    round_bytes: int = 32 << 20, query_block: int = 512, candidate_block: int = 4096,
+    block_bytes: int = 32 << 20, query_block: int = 512, candidate_block: int = 4096,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k rows of largest cosine for each query.
 
     queries is a subset of vectors (same columns). A query's own id is no candidate (rows that repeat
-    it neither); ties go to the smaller vec_id. Vectors null, empty, zero or holding null or
+    it neither); of query rows that repeat an id with different vectors the smallest vector, in Spark's
+    order of arrays, asks. Ties go to the smaller vec_id. Vectors null, empty, zero or holding null or
     non-finite components, and null ids, take no part; only vectors of equal length are compared.
     Repeated rows of one id count once for each row. Other columns are not read, whatever their
     names. Fewer than k candidates: all of them. Empty tables give an empty table.
     """
     spark = vectors.sparkSession
-    cands = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
-    asked = queries.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where("vec_id is not null and v is not null")
-    asked_bytes = asked.agg(F.coalesce(F.sum(F.size("v") * 8 + 8), F.lit(0)).alias("b")).first()["b"]
-    rounds = max(1, -(-int(asked_bytes) // round_bytes))
-    found: DataFrame | None = None
-    for r in range(rounds):
-        part = asked if rounds == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(rounds)) == r)
-        got = usable(*(c.combine_chunks() for c in part.dropDuplicates(["vec_id"]).toArrow().select(["vec_id", "v"]).columns))
-        sent = spark.sparkContext.broadcast(got)
-
-        def work(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            asked_blocks = {n: [*blocked(i, v, query_block)] for n, (i, v) in sent.value.items()}
-            heaps = Heaps(k)
-            for b in batches:
-                for n, (ids, rows) in usable(b.column(0), b.column(1)).items():
-                    for c in blocked(ids, rows, candidate_block):
-                        for q in asked_blocks.get(n, ()):
+    cands = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where("vec_id is not null and v is not null")
+    asked = (
+        queries.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).where("vec_id is not null and v is not null")
+        .groupBy("vec_id").agg(F.min("v").alias("v"))
+    )
+    size = F.coalesce(F.sum(F.size("v") * 8 + 8), F.lit(0)).alias("b")
+    q_blocks = max(1, -(-int(asked.agg(size).first()["b"]) // block_bytes))
+    c_blocks = max(2 * spark.sparkContext.defaultParallelism // q_blocks, 1, -(-int(cands.agg(size).first()["b"]) // (4 * block_bytes)))
+
+    def dealt(rows: DataFrame, side: int, mine: int, other: int) -> DataFrame:
+        block = F.pmod(F.xxhash64("vec_id", F.lit(11)), F.lit(mine)).cast("int")
+        copies = rows.select(block.alias("mine"), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("other"), "vec_id", "v")
+        q, c = ("mine", "other") if side == 0 else ("other", "mine")
+        return copies.select(F.col(q).alias("q"), F.col(c).alias("c"), F.lit(side).alias("side"), "vec_id", "v")
+
+    both = dealt(asked, 0, q_blocks, c_blocks).unionByName(dealt(cands, 1, c_blocks, q_blocks))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heaps, key = Heaps(k), None
+        held: dict[int, list[tuple]] = {}
+        blocks: dict[int, list[tuple]] | None = None
+        for whole in batches:
+            cols = [whole.column(i).to_numpy() for i in range(3)]
+            cuts = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0) | (np.diff(cols[2]) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), whole.num_rows]):
+                if a == b:
+                    continue
+                if key != (now := (int(cols[0][a]), int(cols[1][a]))):
+                    yield from heaps.out()
+                    heaps, key, held, blocks = Heaps(k), now, {}, None
+                found = usable(whole.column(3).slice(a, b - a), whole.column(4).slice(a, b - a))
+                if cols[2][a] == 0:  # the queries come first
+                    for n, part in found.items():
+                        held.setdefault(n, []).append(part)
+                    continue
+                if blocks is None:
+                    blocks = {n: [*blocked(*map(np.concatenate, zip(*parts)), query_block)] for n, parts in held.items()}
+                for n, (ids, rows) in found.items():
+                    for c in blocked(ids, rows, candidate_block) if n in blocks else ():
+                        for q in blocks[n]:
                             tile(q, c, heaps, k)
-            rows = [(q, -v, s) for q, h in heaps.of.items() for s, v in h]
-            for at in range(0, len(rows), 100_000):
-                yield _found(rows[at : at + 100_000])
+        yield from heaps.out()
 
-        one = cands.mapInArrow(work, "query_id long, vec_id long, score double")
-        found = one if found is None else found.unionByName(one)
+    found = (
+        both.repartition(F.col("q"), F.col("c")).sortWithinPartitions("q", "c", "side", "vec_id")
+        .mapInArrow(work, "query_id long, vec_id long, score double")
+    )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by query: one heap at a time."""
