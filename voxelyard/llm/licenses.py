@@ -4,7 +4,8 @@ Every rolling k-gram of a text's words (k = 2) is hashed and joined in Spark to
 same k-grams in the license templates; the templates are constants, a few hundred rows, so that side
 is broadcast. A match at word p of a text and word t of a template votes for the diagonal p - t.
 Votes are counted by text, template and diagonal. Neighbouring diagonals (a word more or less inside
-a passage) are merged, and a merged span is verified by the share of the template's k-grams it holds.
+a passage) are merged, and a merged span is verified by the share of the template's k-grams it holds,
+each place of the template counted once however often its words repeat in the text.
 A phrase is found where all its k-grams voted for one diagonal; the words are compared as words, so
 equal hashes of different words never count.
 """
@@ -68,7 +69,8 @@ def scan(
     by its place in the scan). Null ids stay null. Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
-    words = F.array_remove(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), SEPARATORS, -1), "")
+    lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.array_remove(F.split(lowered, SEPARATORS, -1), "")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cut = rows.select("row", "doc_id", words.alias("w")).select(
         "row", "doc_id", F.size("w").alias("n_words"),
@@ -83,7 +85,7 @@ def scan(
         "template is not null or p = 0 or p is null"
     )
     votes = met.groupBy("row", "doc_id", "n_words", "template", "label", "kind", "grams", (F.col("p") - F.col("at")).alias("diagonal")).agg(
-        F.count("*").alias("votes"), F.min("p").alias("low"), F.max("p").alias("high")
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))).alias("places"), F.min("p").alias("low"), F.max("p").alias("high")
     )
     near = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = (F.col("diagonal") - F.lag("diagonal").over(near) > drift) | (F.col("low") > F.lag("high").over(near) + 2 * F.col("grams"))
@@ -91,7 +93,7 @@ def scan(
         "span", F.when(F.col("kind") == "notice", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(near)).otherwise(F.col("diagonal"))
     )
     merged = spans.groupBy("row", "doc_id", "n_words", "template", "label", "kind", "grams", "span").agg(
-        F.least(F.sum("votes") / F.first("grams"), F.lit(1.0)).alias("share"),
+        (F.bit_count(F.bit_or("places")) / F.col("grams")).alias("share"),
         F.min("diagonal").alias("begin"),
     )
     whole = (F.col("kind") == "phrase") & (F.col("share") >= 1)
