@@ -5,7 +5,8 @@ SHA-256, and each digest is verified against the bytes when they are read. `head
 record, the exact bytes of its WARC and HTTP headers and the digest of its payload. The original
 records come back by joining the two. Of records with equal payloads of at least `revisit_from`
 bytes, that with the smallest id is a response and the others are revisits that carry headers only;
-smaller payloads are always responses (but stored once all the same).
+smaller payloads are always responses (but stored once all the same). Where rows repeat that id, one
+of them is the response.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ END = "\r\n\r\n"
 
 
 def _uuid(*columns: F.Column) -> F.Column:
-    """A UUID made from a hash, so that a second run writes the same bytes."""
+    """A UUID made from a hash, so that a second run over the same files writes the same bytes."""
     h = F.md5(F.concat_ws("\x1f", *columns))
     cut = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (14, 3), (18, 3), (21, 12))]
     return F.concat(cut[0], F.lit("-"), cut[1], F.lit("-3"), cut[2], F.lit("-a"), cut[3], F.lit("-"), cut[4])
@@ -34,27 +35,35 @@ def write(
 ) -> None:
     """Write the archive of pages to path.
 
-    Null payloads are empty ones; null urls are written as about:blank. Repeated rows give a record
-    each; among rows of one id with one payload one is the response. A null id is written as `null`
-    and never chosen as the response while another record has the payload. Extra columns are not
-    read, whatever their names. The payloads are shuffled once, by digest, with a partial
-    aggregation first, so that a payload that a third of the rows share moves once a task.
+    Null payloads are empty ones; null urls are written as about:blank, and line ends in urls, which no
+    header can hold, are left out. Repeated rows give a record each, with a record id of its own; of
+    rows with one id and one payload the first by url, and then by place in the table, is the response. A
+    null id is written as `null` and never chosen as the response while another record has the payload.
+    Extra columns are not read, whatever their names. The payloads are shuffled once, by digest, with a
+    partial aggregation first, so that a payload that a third of the rows share moves once a task; the
+    rows without their payloads are a table of the archive (`rows`), so that a row keeps its place.
     """
+    spark = pages.sparkSession
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
         F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("about:blank")), r"[\r\n]", "").alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
     (
-        rows.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.first("payload").alias("payload"))
+        rows.groupBy("digest").agg(F.first("payload").alias("payload"))
         .write.option("compression", "zstd").option("maxRecordsPerFile", rows_a_file).parquet(f"{path}/payloads")
     )
-    spark = pages.sparkSession
-    first = spark.read.parquet(f"{path}/payloads").select("digest", "first_id")
-    bare = rows.select("page_id", "url", "digest", F.length("payload").cast("long").alias("size"))
+    (
+        rows.select("page_id", "url", "digest", F.length("payload").cast("long").alias("size"), F.monotonically_increasing_id().alias("place"))
+        .write.option("compression", "zstd").option("maxRecordsPerFile", 10 * rows_a_file).parquet(f"{path}/rows")
+    )
+    bare = spark.read.parquet(f"{path}/rows")
+    first = (
+        bare.groupBy("digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url", "place")).alias("first"))
+        .select("digest", F.col("first.page_id").alias("first_id"), F.col("first.place").alias("first_place"))
+    )
     known = bare.join(first, "digest").withColumn(
-        "record_type",
-        F.when((F.col("size") >= revisit_from) & ~F.col("page_id").eqNullSafe(F.col("first_id")), "revisit").otherwise("response"),
+        "record_type", F.when((F.col("size") >= revisit_from) & (F.col("place") != F.col("first_place")), "revisit").otherwise("response")
     )
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
     http = F.when(
@@ -64,7 +73,7 @@ def write(
     block = F.length(http) + F.when(F.col("record_type") == "response", F.col("size")).otherwise(0)
     head = F.concat(
         F.lit(f"{VERSION}\r\nWARC-Type: "), F.col("record_type"),
-        F.lit("\r\nWARC-Record-ID: <urn:uuid:"), _uuid(F.col("url"), page, F.col("digest")),
+        F.lit("\r\nWARC-Record-ID: <urn:uuid:"), _uuid(F.col("url"), page, F.col("digest"), F.col("place").cast("string")),
         F.lit(f">\r\nWARC-Date: {date}\r\nWARC-Target-URI: "), F.col("url"),
         F.lit("\r\nWARC-Payload-Digest: sha256:"), F.col("digest"),
         F.lit("\r\nX-Page-Id: "), page,
