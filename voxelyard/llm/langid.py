@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +41,23 @@ SCRIPTS = {
     "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF)],
 }
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
+#: Words are runs of letters with the marks that belong to them; the first pattern serves texts of Latin-1.
+LATIN_WORD = re.compile("[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 BUCKETS = 1 << 16
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a whole text: letters as Unicode has them, no digits or other numerals."""
+    if not text:
+        return []
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return WORD.findall(text)
+    return LATIN_WORD.findall(text)
+
+
 def script(word: str) -> str:
     c = ord(word[0])
     if c < 0x250:
@@ -65,21 +79,29 @@ def grams(word: str) -> list[int]:
 
 @dataclass
 class LanguageModel:
-    """langs sorted; logp[bucket, lang] (relative to the best language); seen[script] = languages."""
+    """langs sorted; logp[bucket, lang] (relative to the best language); level[bucket], the best language's
+    own log-probability over that of a text without any preference; seen[script] = languages."""
 
     langs: list[str]
     logp: np.ndarray
     seen: dict[str, np.ndarray]
     prior: np.ndarray
+    level: np.ndarray
     penalty: float = 8.0
     cache: int = 300_000
     clip: float = 6.0
     words: dict[str, int] = field(default_factory=dict, repr=False)
     table: np.ndarray | None = field(default=None, repr=False)
+    fits: np.ndarray | None = field(default=None, repr=False)
     used: int = 0
 
     def _rows(self, words: list[str]) -> np.ndarray:
-        """Places of the words' scores in the table; new words are scored first."""
+        """Scores of the words for each language."""
+        places = self._places(words)  # first: the table may grow
+        return self.table[places]
+
+    def _places(self, words: list[str]) -> list[int]:
+        """Places of the words in the tables of scores and fits; new words are scored first."""
         get = self.words.get
         rows = [*map(get, words)]
         if None in rows:
@@ -92,7 +114,10 @@ class LanguageModel:
                 table = np.zeros((size, len(self.langs)), np.float32)
                 if self.used:
                     table[: self.used] = self.table[: self.used]
-                self.table = table
+                fits = np.zeros(size, bool)
+                if self.used:
+                    fits[: self.used] = self.fits[: self.used]
+                self.table, self.fits = table, fits
             found = [grams(w) for w in new]
             n = np.fromiter(map(len, found), np.int64, len(found))
             flat = np.fromiter((b for f in found for b in f), np.int64, int(n.sum()))
@@ -100,22 +125,25 @@ class LanguageModel:
             score = np.add.reduceat(self.logp[flat], starts, axis=0)
             score -= score.max(1, keepdims=True)
             np.maximum(score, -self.clip, out=score)
+            fit = np.add.reduceat(self.level[flat], starts) > 0
             for i, w in enumerate(new):
-                if (c := ord(w[0])) >= 0x250 or c == 0xAA:
-                    mask = self.seen.get(script(w))
-                    if mask is not None and mask.any():
-                        score[i, ~mask] = -2 * self.clip
-                    else:
-                        score[i] = 0.0
+                mask = self.seen.get("latin" if w.isascii() else script(w))
+                if mask is None or not mask.any():
+                    score[i], fit[i] = 0.0, False  # a script that no language was seen in
+                elif not mask.all():
+                    score[i, ~mask] = -2 * self.clip
+            self.fits[self.used : self.used + len(new)] = fit
             self.table[self.used : self.used + len(new)] = score
             self.words.update(zip(new, range(self.used, self.used + len(new))))
             self.used += len(new)
             rows = [*map(self.words.__getitem__, words)]
-        return self.table[rows]
+        return rows
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(first word, end word, language) of the best path; empty where there is no letter."""
-        words = WORD.findall(text or "")
+        return self._path(words_of(text))
+
+    def _path(self, words: list[str]) -> list[tuple[int, int, int]]:
         if not words:
             return []
         gains = np.concatenate([self._rows(words[i : i + 100_000]) for i in range(0, len(words), 100_000)]).astype(np.float64)
@@ -163,15 +191,23 @@ class LanguageModel:
         return out[::-1]
 
     def predict(self, text: str | None) -> tuple[str, float, list[tuple[int, int, str]]]:
-        """Language, score (the share of the words in its spans) and the spans."""
-        spans = self.spans(text)
+        """Language, score and the spans. The score is the share of the words that lie in the language's
+        spans and fit some learned language: whose trigrams are likelier there than without any
+        preference, in a script that was learned."""
+        words = words_of(text)
+        spans = self._path(words)
         if not spans:
             return UNKNOWN, 0.0, []
-        words = np.zeros(len(self.langs))
+        held = np.zeros(len(self.langs))
+        for a, b, lang in spans:
+            held[lang] += b - a
+        best = int(held.argmax())
+        fitting = 0
         for a, b, lang in spans:
-            words[lang] += b - a
-        best = int(words.argmax())
-        return self.langs[best], float(words[best] / words.sum()), [(a, b, self.langs[x]) for a, b, x in spans]
+            for at in range(a, b if lang == best else a, 100_000):
+                places = self._places(words[at : min(b, at + 100_000)])
+                fitting += int(self.fits[places].sum())
+        return self.langs[best], fitting / len(words), [(a, b, self.langs[x]) for a, b, x in spans]
 
 
 def bounded(rows: DataFrame, id_col: str, at_most: int, count: int) -> DataFrame:
@@ -188,13 +224,22 @@ def fit(
 ) -> LanguageModel:
     """Learns from text and non-null lang of rows that aren't held out, about sample_rows of them.
 
-    The trigram counts are summed by Spark; the driver gets at most BUCKETS rows for each language.
+    Every language has the same bound, sample_rows over the number of languages, and a language of fewer
+    rows gives all of them: the learned languages are the same at any size. The trigram counts are
+    summed by Spark; the driver gets at most BUCKETS rows for each language (at most_langs languages,
+    33 million rows of four numbers, and a model of 131 MB), and the model is what is broadcast.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("lang is not null and text is not null")
     rows = rows.where(~held_out("doc_id"))
-    sample = bounded(rows, "doc_id", sample_rows, rows.count())
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(most_langs + 1).collect()}
+    if len(sizes) > most_langs:
+        raise ValueError(f"more than {most_langs} languages")
+    each = max(1, sample_rows // max(len(sizes), 1))
+    cuts = docs.sparkSession.createDataFrame([(x, min(1 << 30, each * (1 << 30) // n)) for x, n in sizes.items()], "lang_ string, cut long")
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30))
+    sample = rows.join(F.broadcast(cuts), F.col("lang") == F.col("lang_")).where(draw < F.col("cut")).select("lang", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, str, int], int] = Counter()
@@ -202,7 +247,7 @@ def fit(
             for b in pieces(whole):
                 words: dict[str, Counter] = {}
                 for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    words.setdefault(lang, Counter()).update(WORD.findall(text))
+                    words.setdefault(lang, Counter()).update(words_of(text))
                 for lang, of in words.items():
                     for w, n in of.items():
                         counts[lang, "s:" + script(w), 0] += n
@@ -236,11 +281,13 @@ def build(lang: list[str], kind: list[str], bucket: list[int], n: list[int], smo
             scripts.setdefault(k[2:], np.zeros(len(langs)))[place[x]] += c
     total = counts.sum(0)
     logp = np.log((counts + smoothing) / (total + smoothing * BUCKETS)) if langs else counts
+    level = np.zeros(BUCKETS)
     if langs:
+        level = logp.max(1) + np.log(BUCKETS)
         logp -= logp.max(1, keepdims=True)
     words = sum(scripts.values()) if scripts else np.zeros(len(langs))
     seen = {s: c >= 0.001 * np.maximum(words, 1) for s, c in scripts.items()}
-    return LanguageModel(langs, logp.astype(np.float32), seen, np.zeros(len(langs)))
+    return LanguageModel(langs, logp.astype(np.float32), seen, np.zeros(len(langs)), level)
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", with_spans: bool = True) -> DataFrame:
@@ -248,7 +295,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     array<struct<first_word, end_word, lang>>.
 
     lang_pred is `und` and score 0 where the text is null, empty or without a letter, or the model has
-    no language. Ties go to the language first by name. Very long texts are read whole; repeated rows
+    no language. A text in a script that no language was seen in has a learned language and score 0. Ties go to the language first by name. Very long texts are read whole; repeated rows
     stay; null ids aren't held out. Other columns are not read, whatever their names. Narrow.
     """
     key = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
@@ -277,8 +324,11 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
 
 def keep(docs: DataFrame, model: LanguageModel, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, that have a language whose spans hold at least `least` of their
-    words. Without a learned language nothing can be rejected. Narrow: one pass."""
+    """The rows of docs, all columns, whose language has a score of at least `least`.
+
+    Null and empty texts, texts without a letter and texts that fit no learned language go; repeated
+    rows are judged alike; other columns may have any names. Without a learned language nothing can be
+    rejected. An empty table gives an empty table. Narrow: one pass."""
     if not model.langs:
         return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
