@@ -36,6 +36,8 @@ LEVELS = (-0.12, 0.0, 0.12)
 GRAY = np.array([0, 1, 3, 2], np.uint32)
 #: A key joins the packed integers of two places so many frames apart.
 KEY_STEP = 12
+#: The coarse correlation keeps one of so many frequencies and offsets (a power of two up to four).
+STEP = 4
 
 
 def decode_wav(data: bytes | None) -> np.ndarray | None:
@@ -154,7 +156,8 @@ def _spectra(prints: list[np.ndarray], size: int, kind: type) -> np.ndarray:
 
 
 def _size(least: int) -> int:
-    """The smallest length from least on with no prime factor over 5."""
+    """The smallest multiple of four from least on with no prime factor over 5."""
+    least += -least % 4
     while True:
         rest = least
         for f in (2, 3, 5):
@@ -162,7 +165,7 @@ def _size(least: int) -> int:
                 rest //= f
         if rest == 1:
             return least
-        least += 1
+        least += 4
 
 
 class _Block:
@@ -171,6 +174,9 @@ class _Block:
     def __init__(self, ids: list[int], prints: list[np.ndarray]) -> None:
         self.ids, self.prints, self.lengths = ids, prints, np.array([*map(len, prints)])
         self.longest, self.last, self.got = int(self.lengths.max()), None, None
+        self.padded = np.zeros((len(ids), self.longest), np.uint32)
+        for row, p in zip(self.padded, prints):
+            row[: len(p)] = p
 
     def spectra(self, size: int, kind: type) -> np.ndarray:
         if self.last != (size, kind):
@@ -190,35 +196,75 @@ def _blocks(ids: list[int], prints: list[np.ndarray], most: int) -> Iterator[_Bl
         at = end
 
 
-def alignments(asked: _Block, every: _Block, most_error: float, least_overlap: int) -> list[tuple[int, int, int, int, float]]:
-    """q, print_id, offset, votes, bit_error of each pair that has an offset within most_error."""
-    size = _size(max(asked.longest + every.longest - least_overlap, 2))
-    # the error of the sums is far under 1, which is half the distance of two sums
+def _net_bits(a: np.ndarray, b: np.ndarray, offset: int, a_len: np.ndarray, b_len: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Differing bits and overlapping frames of the rows of a and b (padded prints), b's place less a's being offset."""
+    begin_a, begin_b = max(-offset, 0), max(offset, 0)
+    n = np.minimum(a_len - begin_a, b_len - begin_b)
+    most = max(int(n.max(initial=0)), 0)
+    differ = np.bitwise_count(a[:, begin_a : begin_a + most] ^ b[:, begin_b : begin_b + most])
+    width = min(a.shape[1] - begin_a, b.shape[1] - begin_b, most)
+    return (differ * (np.arange(width) < n[:, None])).sum(1, dtype=np.int64), n
+
+
+def _candidates(asked: _Block, every: _Block, most_error: float, least_overlap: int, size: int, slack: float) -> np.ndarray:
+    """Pairs (place in every, place in asked) that have an offset within most_error.
+
+    The correlation is first taken from the lowest 1/STEP of the frequencies alone, at every STEP-th offset,
+    which takes 1/STEP of the product and of the transform. The prints of neighbouring frames overlap, so
+    most of a correlation lies there: where it holds less than `slack` of what a link needs, the offset and
+    its neighbours are ruled out. At the others the bits are counted.
+    """
+    half = size // STEP
     kind = np.float32 if asked.longest * every.longest < 1 << 22 else np.float64
-    product = np.matmul(every.spectra(size, kind), asked.spectra(size, kind).conj().transpose(0, 2, 1))
-    agree = np.fft.irfft(np.ascontiguousarray(product.transpose(1, 2, 0)), size, axis=2)
-    offset = np.arange(size)
-    offset[offset > every.longest - least_overlap] -= size
+    low = half // 2 + 1
+    product = np.matmul(every.spectra(size, kind)[:low], asked.spectra(size, kind)[:low].conj().transpose(0, 2, 1))
+    agree = np.fft.irfft(np.ascontiguousarray(product.transpose(1, 2, 0)), half, axis=2)
+    offset = STEP * np.arange(half)
+    offset[offset > every.longest - least_overlap + STEP - 1] -= size
     one = len({*asked.lengths.tolist()}) == 1 == len({*every.lengths.tolist()})
     q_len, c_len = (asked.lengths[:1], every.lengths[:1]) if one else (asked.lengths, every.lengths)
     overlap = np.minimum(q_len[None, :, None] - np.maximum(-offset, 0), c_len[:, None, None] - np.maximum(offset, 0))
-    need = np.where(overlap >= least_overlap, 32 * overlap * (1 - 2 * most_error) - 1, np.inf).astype(kind)
+    # the short transform sums STEP times what the whole one does
+    need = np.where(overlap > least_overlap - STEP, STEP * slack * 32 * (overlap - STEP // 2) * (1 - 2 * most_error), np.inf).astype(kind)
     c, q, k = np.nonzero(agree >= need)
-    frames = np.broadcast_to(overlap, agree.shape)[c, q, k]
-    net = 2 * np.rint(agree[c, q, k].astype(float) / 2).astype(np.int64)
-    error = (32 * frames - net) / (64 * frames)
-    good = error <= most_error
-    c, q, at, net, error = c[good], q[good], offset[k[good]], net[good], error[good]
-    order = np.lexsort((at, np.abs(at), -net, q, c))
-    c, q, at, error = c[order], q[order], at[order], error[order]
-    first = np.ones(len(c), bool)
-    first[1:] = (c[1:] != c[:-1]) | (q[1:] != q[:-1])
+    if not len(c):
+        return np.zeros((0, 2), np.int64)
+    found = np.zeros((len(every.ids), len(asked.ids)), bool)
+    order = np.argsort(offset[k], kind="stable")
+    c, q, at = c[order], q[order], offset[k][order]
+    cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)]
+    for x, y in zip(cuts, cuts[1:]):
+        i, j = c[x:y], q[x:y]
+        for o in range(int(at[x]) - STEP // 2, int(at[x]) + STEP // 2 + 1):
+            todo = ~found[i, j]
+            if todo.any():
+                i, j = i[todo], j[todo]
+                differ, n = _net_bits(asked.padded[j], every.padded[i], o, asked.lengths[j], every.lengths[i])
+                good = (n >= least_overlap) & (differ <= 32 * n * most_error)
+                found[i[good], j[good]] = True
+    return np.argwhere(found)
+
+
+def alignments(asked: _Block, every: _Block, most_error: float, least_overlap: int, slack: float = 0.7) -> list[tuple[int, int, int, int, float]]:
+    """q, print_id, offset, votes, bit_error of each pair that has an offset within most_error."""
+    size = _size(max(asked.longest + every.longest - least_overlap, 2))
+    pairs = _candidates(asked, every, most_error, least_overlap, size, slack)
     out = []
-    for i, j, o, e in zip(c[first].tolist(), q[first].tolist(), at[first].tolist(), error[first].tolist()):
-        if every.ids[i] != asked.ids[j]:
-            a, b = asked.prints[j][max(-o, 0) :], every.prints[i][max(o, 0) :]
-            same = a[: len(b)] == b[: len(a)]
-            out.append((asked.ids[j], every.ids[i], o, int((same[:-KEY_STEP] & same[KEY_STEP:]).sum()), e))
+    offsets = range(-(asked.longest - least_overlap), every.longest - least_overlap + 1)
+    for at in range(0, len(pairs), 1024):  # links: every offset is counted, for the best of them
+        i, j = pairs[at : at + 1024, 0], pairs[at : at + 1024, 1]
+        best = np.full(len(i), np.iinfo(np.int64).min)
+        place, error = np.zeros(len(i), np.int64), np.ones(len(i))
+        for o in sorted(offsets, key=lambda o: (abs(o), o)):
+            differ, n = _net_bits(asked.padded[j], every.padded[i], o, asked.lengths[j], every.lengths[i])
+            net = 32 * n - 2 * differ
+            better = (n >= least_overlap) & (differ <= 32 * n * most_error) & (net > best)
+            best[better], place[better], error[better] = net[better], o, (differ[better] / (32 * n[better]))
+        for x, y, o, e in zip(i.tolist(), j.tolist(), place.tolist(), error.tolist()):
+            if every.ids[x] != asked.ids[y]:
+                a, b = asked.prints[y][max(-o, 0) :], every.prints[x][max(o, 0) :]
+                same = a[: len(b)] == b[: len(a)]
+                out.append((asked.ids[y], every.ids[x], o, int((same[:-KEY_STEP] & same[KEY_STEP:]).sum()), e))
     return out
 
 
