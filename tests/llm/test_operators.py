@@ -88,7 +88,7 @@ def test_nearest_in_rounds_and_on_nothing(spark):
     df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)]) for i in range(200)], "vec_id long, embedding array<double>")
     q = df.where("vec_id % 2 = 0")
     one = {tuple(r) for r in ann.nearest(df, q).collect()}
-    assert one == {tuple(r) for r in ann.nearest(df, q, round_bytes=1500).collect()} and len(one) == 500
+    assert one == {tuple(r) for r in ann.nearest(df, q, block_bytes=1500).collect()} and len(one) == 500
     assert ann.nearest(df.where("false"), q.where("false")).count() == 0
 
 
@@ -426,7 +426,7 @@ def test_language_learns_from_allowed_rows_only(spark, docs):
 def test_viterbi_shortcut_changes_nothing(docs):
     model = langid.fit(docs)
     for r in docs.collect():
-        words = langid.WORD.findall(r.text)
+        words = langid.words_of(r.text)
         if words:
             assert model.spans(r.text) == model._viterbi(model._rows(words).astype(float))
 

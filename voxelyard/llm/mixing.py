@@ -147,19 +147,13 @@ def _draw(keyed: DataFrame, blocks: dict[int, int], block_rows: int, seed: int)
             return done.withColumn("copies", (F.col("base") + F.col("p")).cast("long"))
         # at most two of a block stay open
         blocks = {s: -(-2 * n // block_rows) if n > 1 else 1 for s, n in blocks.items()}
-        now = flown.where("p > 0 and p < 1").drop("block").withColumn("blocks", _looked_up(blocks))
+        many = keyed.sparkSession.createDataFrame([(s, n) for s, n in blocks.items() if n > 1], "s_ int, more int")
+        now = flown.where("p > 0 and p < 1").drop("block", "blocks").join(F.broadcast(many), F.col("s") == F.col("s_"), "left").withColumn(
+            "blocks", F.coalesce("more", F.lit(1))
+        ).drop("s_", "more")  # a row for each source of more than a block, most_sources at most
         level += 1
 
 
-def _looked_up(blocks: dict[int, int]) -> F.Column:
-    """The few sources of more than a block, by a map; all others have one."""
-    many = {s: n for s, n in blocks.items() if n > 1}
-    if not many:
-        return F.lit(1)
-    found = F.create_map(*[F.lit(x) for kv in many.items() for x in kv])
-    return F.coalesce(found[F.col("s")], F.lit(1))
-
-
 def _fly(last: bool, seed: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches):
@@ -198,19 +192,26 @@ def apply(docs: DataFrame, mixture: DataFrame, id_col: str = "doc_id", text_col:
     """The rows of docs, all columns, each as often as mix(docs) takes it.
 
     Rows are known by id and text. Rows that repeat both share out their copies: a key's k rows take
-    c copies together, the first c mod k of them one more than the others.
+    c copies together, the first c mod k of them one more than the others, in the order of the table's
+    partitions: each partition counts its rows of a key, so no task holds a key that fills a third of the
+    table. Null and empty texts are never taken. Columns may have any names: a row travels as one
+    struct. An empty table gives an empty table.
     """
-    taken = mixture.groupBy(F.col("doc_id").alias("vy_id"), F.col("text_hash").alias("vy_key")).agg(
-        F.sum("copies").alias("vy_copies"), F.count("*").alias("vy_rows")
-    ).where("vy_copies > 0")
-    keyed = docs.withColumn("vy_hash", F.xxhash64(F.col(text_col).cast("string")))
-    met = keyed.join(taken, F.col(id_col).eqNullSafe(F.col("vy_id")) & (F.col("vy_hash") == F.col("vy_key")))
-    single = met.where("vy_rows = 1").withColumn("vy_n", F.col("vy_copies"))
-    numbered = met.where("vy_rows > 1").withColumn(
-        "vy_place", F.row_number().over(Window.partitionBy("vy_id", "vy_key").orderBy("vy_key"))
+    taken = mixture.groupBy(F.col("doc_id").alias("taken_id"), F.col("text_hash").alias("taken_hash")).agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("rows")
+    ).where("copies > 0")
+    held = docs.select(
+        F.col(f"`{id_col}`").alias("row_id"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("row_hash"),
+        F.spark_partition_id().alias("part"), F.struct("*").alias("row"),
     )
-    many = numbered.withColumn(
-        "vy_n", F.floor(F.col("vy_copies") / F.col("vy_rows")) + (F.col("vy_place") <= F.col("vy_copies") % F.col("vy_rows")).cast("long")
-    ).drop("vy_place")
-    rows = single.unionByName(many).where("vy_n > 0")
-    return rows.withColumn("vy_copy", F.explode(F.expr("sequence(1L, vy_n)"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    met = held.join(taken, F.col("row_id").eqNullSafe(F.col("taken_id")) & (F.col("row_hash") == F.col("taken_hash")))
+    many = met.where("rows > 1")
+    counts = many.groupBy(F.col("row_id").alias("count_id"), F.col("row_hash").alias("count_hash"), F.col("part").alias("count_part")).agg(F.count("*").alias("here"))
+    upto = Window.partitionBy("count_id", "count_hash").orderBy("count_part")
+    counts = counts.select("count_id", "count_hash", "count_part", (F.sum("here").over(upto) - F.col("here")).alias("before"))
+    placed = many.join(
+        counts, F.col("row_id").eqNullSafe(F.col("count_id")) & (F.col("row_hash") == F.col("count_hash")) & (F.col("part") == F.col("count_part"))
+    ).withColumn("place", F.col("before") + F.row_number().over(Window.partitionBy("row_id", "row_hash", "part").orderBy("before")))
+    shared = F.floor(F.col("copies") / F.col("rows")) + (F.col("place") <= F.col("copies") % F.col("rows")).cast("long")
+    rows = met.where("rows = 1").select("row", F.col("copies").alias("n")).unionByName(placed.select("row", shared.alias("n")))
+    return rows.where("n > 0").select("row", F.explode(F.expr("sequence(1L, n)")).alias("copy")).select("row.*")

@@ -16,9 +16,10 @@ size; what is linked doesn't depend on it. Out of a pair of chunks come only the
 forest, at most one for each fingerprint, never all pairs.
 
 Blocks serve small radii. For a similarity of 0.8 on five-word shingles `similar` searches the trees
-for candidates, by prints whose distance never exceeds the number of shingles that two texts don't
-share, in shards of the smallest shingle hashes; then all shingles of the candidates meet, and only
-texts whose exact Jaccard similarity is high enough are linked.
+for candidates, by prints of 512 bits and a radius that a similar pair exceeds with a probability under
+1e-5, in shards of the smallest shingle hashes; a shard that too many texts share is dealt again by
+pairs of those hashes, and then by threes. Then all shingles of the candidates meet, and only texts
+whose exact Jaccard similarity is high enough are linked.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelyard.llm.common import SPACE_WORD, pieces, stage
@@ -299,6 +300,21 @@ def parity_print(hashes: np.ndarray, words: int = 8) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
+#: Odd multipliers and shifts of a bijective mix of 64 bits.
+_MIX = ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53))
+
+
+def wide_print(hashes: np.ndarray, words: int = 8) -> np.ndarray:
+    """The SimHash of distinct hashes in 64 x words bits: each word votes with hashes mixed anew."""
+    out = np.zeros(words, np.uint64)
+    for w in range(words if len(hashes) else 0):
+        h = hashes + np.uint64(0x9E3779B97F4A7C15 * (w + 1) & _ALL)
+        for shift, factor in _MIX:
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+        out[w] = vote(h ^ (h >> np.uint64(33)))
+    return out
+
+
 def _verified(
     names: np.ndarray, sets: list[np.ndarray], queries: np.ndarray | None, similarity: float
 ) -> list[tuple[int, int]]:
@@ -328,27 +344,35 @@ def _verified(
     return links
 
 
+#: Of two sets of at least this Jaccard similarity a bit of the SimHash differs with a probability of at most
+#: 3/16 (sets of four and five; 0.152 in large ones); of 512 bits more than this many with one under 1e-5.
+WIDE_SIMILARITY, WIDE_RADIUS = 0.8, 136
+
+
 def similar(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
-    deals: int = 16, shard_rows: int = 1024, words: int = 8,
+    deals: int = 16, shard_rows: int = 1024,
 ) -> DataFrame:
     """Per row: doc_id, text_hash, node, root (longs), component_id: groups of texts linked where the Jaccard similarity of
-    their distinct five-word shingles (by hash) is at least `similarity`.
+    their distinct five-word shingles (by hash) is at least `similarity` (0.8 or more).
 
     Candidates: a text is dealt to the shards of its `deals` smallest shingle hashes. Texts of up to
     deals / (1 - s) - 1 shingles that are similar always meet; larger ones miss each other with a probability under
-    (1 - s)^deals, 7e-12. In a shard the trees find the prints within (1 - s) / s times the size of
-    the one that asks, which no similar pair exceeds. All texts that hang together by candidates meet
-    with their whole sets of shingles, and the exact similarity decides. A node is a set of shingles.
+    (1 - s)^deals, 7e-12 (1e-6 where all the hashes that they share are too common, see `_dealt`). In a
+    shard the trees find the prints within WIDE_RADIUS. All texts that hang together by candidates meet with their whole sets of
+    shingles, and the exact similarity decides. A node is a set of shingles.
     Null and empty texts have none and are one group; other edge cases are as in near_duplicates.
     """
+    if similarity < WIDE_SIMILARITY:
+        raise ValueError(f"the radius serves similarities from {WIDE_SIMILARITY}")
+    words = 8
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in pieces(whole):
                 got = [np.unique(shingle_hashes(t, shingle)) for t in b.column(1).to_pylist()]
                 names = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in got], np.uint64).view(np.int64)
-                sigs = [parity_print(h, words).view(np.int64) for h in got]
+                sigs = [wide_print(h, words).view(np.int64) for h in got]
                 least = [h[:deals].view(np.int64) for h in got]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -370,15 +394,14 @@ def similar(
         ),
         "nodes",
     )
-    dealt = nodes.select(
-        F.col("node").alias("fp"), F.lit(0).alias("part"), F.explode("least").alias("bits"), "size",
-        *[F.col("sig")[i].alias(f"w{i}") for i in range(words)],
+    dealt = _dealt(nodes, 2 * shard_rows).join(nodes.select(F.col("node").alias("fp"), "sig"), "fp").select(
+        "fp", "part", "bits", *[F.col("sig")[i].alias(f"w{i}") for i in range(words)]
     )
 
     def search(g: dict[str, np.ndarray]) -> list[tuple[int, int]]:
         sigs = np.stack([g[f"w{i}"].view(np.uint64) for i in range(words)], axis=1)
         queries = None if g["i"][0] == g["j"][0] else np.flatnonzero(g["in_tree"] != 1)
-        return _wide_forest(g["fp"], sigs, queries, np.floor((1 - similarity) / similarity * g["size"] + 1e-9).astype(np.int64))
+        return _wide_forest(g["fp"], sigs, queries, WIDE_RADIUS)
 
     near = components(_in_shards(dealt, search, shard_rows)).withColumnRenamed("root", "bits")
     asked = nodes.join(near, "node").select("node", "bits", F.col("text_hash").alias("asked_hash"))
@@ -405,18 +428,49 @@ def similar(
     return prints.join(of_node, "node").select("doc_id", "text_hash", "node", "root", "component_id")
 
 
+def _dealt(nodes: DataFrame, most: int) -> DataFrame:
+    """fp, part, bits: the shards of each node, by its smallest hashes.
+
+    A hash that more than `most` nodes have among theirs (a passage that many texts share) is no key by
+    itself: its nodes are dealt by the pairs of it and each of their other hashes, and a pair that is
+    too common by threes. A similar pair has two of sixteen hashes in common but with a probability
+    under 1e-9, and three but with one under 1e-6; texts of few shingles have nearly all in common.
+    A shard of threes may have any size; _in_shards cuts it into chunks.
+    """
+    now = nodes.select(F.col("node").alias("fp"), F.col("least"), F.explode("least").alias("h")).select(
+        "fp", "least", F.array("h").alias("have"), F.col("h").alias("bits")
+    )
+    out = None
+    for part in range(3):
+        if part == 2:
+            cold = now
+        else:
+            now = stage(now, f"deal{part}")
+            hot = now.groupBy("bits").agg(F.count("*").alias("n")).where(F.col("n") > most).select("bits")
+            cold = now.join(hot, "bits", "left_anti")
+            more = now.join(hot, "bits").select("fp", "least", F.explode(F.array_except("least", "have")).alias("h"), "have")
+            # a set of hashes is reached from each of its parts: once is enough
+            now = more.select("fp", "least", F.array_sort(F.concat("have", F.array("h"))).alias("have")).distinct().withColumn(
+                "bits", F.xxhash64("have")
+            )
+        found = cold.select("fp", F.lit(part).alias("part"), "bits")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, that stay: of each group of similar(docs) one.
 
     That with the smallest id stays; of texts that share the id, that with the smallest hash; of rows
-    that repeat both, one. Of a group whose ids are all null one row stays.
+    that repeat both, one. Of a group whose ids are all null one row stays. Null and empty texts are one
+    group. Columns may have any names: a row travels as one struct. An empty table gives an empty table.
     """
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = first.groupBy("root").agg(F.first("component_id").alias("vy_id"), F.min("text_hash").alias("vy_key")).select("vy_id", "vy_key").distinct()
-    rows = groups.groupBy("doc_id", "text_hash").agg(F.count("*").alias("vy_rows"))
-    kept = kept.join(rows, kept["vy_id"].eqNullSafe(rows["doc_id"]) & (kept["vy_key"] == rows["text_hash"])).select("vy_id", "vy_key", "vy_rows")
-    keyed = docs.withColumn("vy_hash", F.xxhash64(F.col(text_col)))
-    met = keyed.join(kept, F.col(id_col).eqNullSafe(F.col("vy_id")) & (F.col("vy_hash") == F.col("vy_key")))
-    many = met.where("vy_rows > 1").withColumn("vy_place", F.row_number().over(Window.partitionBy("vy_id", "vy_key").orderBy("vy_key")))
-    rows = met.where("vy_rows = 1").unionByName(many.where("vy_place = 1").drop("vy_place"))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = first.groupBy("root").agg(F.first("component_id").alias("kept_id"), F.min("text_hash").alias("kept_hash")).select("kept_id", "kept_hash").distinct()
+    rows = groups.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"))
+    kept = kept.join(rows, kept["kept_id"].eqNullSafe(rows["doc_id"]) & (kept["kept_hash"] == rows["text_hash"])).select("kept_id", "kept_hash", "n")
+    held = docs.select(F.col(f"`{id_col}`").alias("row_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("row_hash"), F.struct("*").alias("row"))
+    met = held.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_hash") == F.col("kept_hash")))
+    # of rows that repeat id and text one stays: an aggregate, so that a row that fills a third of the table moves once a task
+    many = met.where("n > 1").groupBy("row_id", "row_hash").agg(F.first("row").alias("row"))
+    return met.where("n = 1").select("row").unionByName(many.select("row")).select("row.*")
