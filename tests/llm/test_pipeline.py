@@ -78,6 +78,8 @@ def test_quality_stage(spark, docs):
     assert key(got.collect()) == key([r for r in docs.collect() if model.score(r.text) >= pipe.LEAST_QUALITY])
     unharmed(got, docs)
     assert pipe.quality_stage(spark, docs.where("false"), SF).count() == 0
+    unlabelled = quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet").where("false"))
+    assert quality.keep(docs, unlabelled, pipe.LEAST_QUALITY).count() == docs.count()
 
 
 def test_language_stage(spark, docs):
