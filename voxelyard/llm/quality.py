@@ -174,9 +174,11 @@ def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     sample_rows: int = 12_000,
 ) -> FactorisationMachine:
-    """Learns from about sample_rows labelled rows that aren't held out, chosen by a hash of the id.
+    """Learns from about sample_rows labelled ids that aren't held out, chosen by a hash of the id.
 
-    The features are computed by Spark; the driver gets those of the sample alone.
+    An id that is labelled more than once has its largest label; an id with several texts gives the
+    first by code point, so the sample is bounded in rows however often a row repeats. The features are
+    computed by Spark; the driver gets those of the sample alone.
     """
     from voxelyard.llm.langid import bounded
 
@@ -185,7 +187,7 @@ def fit(
     chosen = bounded(marked, "doc_id", sample_rows, marked.count())
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # chosen has at most about sample_rows rows of two numbers
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "y", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
@@ -243,7 +245,11 @@ def score(
 
 
 def keep(docs: DataFrame, model: FactorisationMachine, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, whose text scores at least `least`. Narrow: one pass."""
+    """The rows of docs, all columns, whose text scores at least `least`. Null and empty texts are scored as in
+    `score`; repeated rows are judged alike; other columns may have any names. Without a label known to the
+    model nothing is judged and every row stays. Narrow: one pass."""
+    if not model.linear.any() and not model.factors.any():
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
