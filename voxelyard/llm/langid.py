@@ -97,8 +97,16 @@ class LanguageModel:
 
     def _rows(self, words: list[str]) -> np.ndarray:
         """Scores of the words for each language."""
-        places = self._places(words)  # first: the table may grow
-        return self.table[places]
+        return self._judged(words)[0]
+
+    def _judged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the words for each language, and whether each fits some learned one."""
+        scores, fits = [], []
+        for at in range(0, len(words), 100_000):
+            places = self._places(words[at : at + 100_000])
+            scores.append(self.table[places])
+            fits.append(self.fits[places])
+        return (scores[0], fits[0]) if len(scores) == 1 else (np.concatenate(scores), np.concatenate(fits))
 
     def _places(self, words: list[str]) -> list[int]:
         """Places of the words in the tables of scores and fits; new words are scored first."""
@@ -141,19 +149,18 @@ class LanguageModel:
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(first word, end word, language) of the best path; empty where there is no letter."""
-        return self._path(words_of(text))
+        words = words_of(text)
+        return self._path(self._rows(words)) if words else []
 
-    def _path(self, words: list[str]) -> list[tuple[int, int, int]]:
-        if not words:
-            return []
-        gains = np.concatenate([self._rows(words[i : i + 100_000]) for i in range(0, len(words), 100_000)]).astype(np.float64)
+    def _path(self, scores: np.ndarray) -> list[tuple[int, int, int]]:
+        gains = scores.astype(np.float64)
         totals = gains.sum(0) + self.prior
         best = int(totals.argmax())
         lead = gains.max(1) - gains[:, best]
         run = np.concatenate(([0.0], np.cumsum(lead)))
         # any stretch that leaves `best` gains at most what lead sums to in it, and pays the penalty
         if run[-1] < self.penalty or self._most(gains, best) < self.penalty:
-            return [(0, len(words), best)]
+            return [(0, len(gains), best)]
         return self._viterbi(gains)
 
     def _most(self, gains: np.ndarray, best: int) -> float:
@@ -195,18 +202,15 @@ class LanguageModel:
         spans and fit some learned language: whose trigrams are likelier there than without any
         preference, in a script that was learned."""
         words = words_of(text)
-        spans = self._path(words)
-        if not spans:
+        if not words:
             return UNKNOWN, 0.0, []
+        scores, fits = self._judged(words)
+        spans = self._path(scores)
         held = np.zeros(len(self.langs))
         for a, b, lang in spans:
             held[lang] += b - a
         best = int(held.argmax())
-        fitting = 0
-        for a, b, lang in spans:
-            for at in range(a, b if lang == best else a, 100_000):
-                places = self._places(words[at : min(b, at + 100_000)])
-                fitting += int(self.fits[places].sum())
+        fitting = sum(int(np.count_nonzero(fits[a:b])) for a, b, lang in spans if lang == best)
         return self.langs[best], fitting / len(words), [(a, b, self.langs[x]) for a, b, x in spans]
 
 
