@@ -80,7 +80,7 @@ def test_one_bad_capture_fails_alone(batch):
     assert s == {"box": True, "wide": True, "bad": False}
     assert runs.batch_status(batch["status"].selectExpr("1 as b", "succeeded"), ["b"]).first().status == "partial"
     q = {r.capture_id: r for r in batch["quality"].collect()}
-    assert 0.5 < q["box"].valid_depth_ratio <= 1 and q["box"].confidence in ("nominal", "caution")
+    assert 0.5 < q["box"].valid_depth_ratio <= 1 and q["box"].confidence in ("good", "caution")
 
 
 def test_truth_and_predictions_meet(spark, batch):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,38 @@ def session() -> SparkSession:
 def _members(spark: SparkSession, path: str) -> DataFrame:
     from voxelyard.sources import capture as cap
 
+    if same := cap.name_collisions(spark, path).limit(20).collect():
+        raise ValueError("captures share a name: " + "; ".join(f"{r['capture_id']} ({', '.join(r['sources'])})" for r in same))
     return cap.read_archives(spark, path).unionByName(cap.read_folders(spark, path))
 
 
+def _free(spark: SparkSession, out: str, overwrite: bool) -> None:
+    """Refuse a result folder that holds something before any work is done."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not overwrite and fs.exists(path) and len(fs.listStatus(path)):
+        raise FileExistsError(f"{out} is not empty (--overwrite replaces the tables of the same names)")
+
+
 def _save(tables: dict[str, DataFrame], out: str, overwrite: bool) -> None:
-    for name, df in tables.items():
-        df.write.mode("overwrite" if overwrite else "errorifexists").parquet(f"{out.rstrip('/')}/{name}")
+    """All tables or none: they are written beside the target and moved there once all are whole. Tables
+    of other names stay."""
+    spark = next(iter(tables.values())).sparkSession
+    _free(spark, out, overwrite)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = out.rstrip("/")
+    staged = f"{out}.staged-{uuid.uuid4().hex[:8]}"
+    fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        for name, df in tables.items():
+            df.write.parquet(f"{staged}/{name}")
+        fs.mkdirs(path(out))
+        for name in tables:
+            fs.delete(path(f"{out}/{name}"), True)
+            if not fs.rename(path(f"{staged}/{name}"), path(f"{out}/{name}")):
+                raise OSError(f"could not move {name} to {out}")
+    finally:
+        fs.delete(path(staged), True)
 
 
 def _show(df: DataFrame, columns: Sequence[str] | None = None) -> None:
@@ -49,8 +76,11 @@ def reconstruct(a: argparse.Namespace) -> int:
 def run(a: argparse.Namespace) -> int:
     from voxelyard.operators import runs
 
+    from voxelyard.config import Intervals
+
     spark = session()
-    tables = runs.results(_members(spark, a.path), a.profile)
+    _free(spark, a.out, a.overwrite)
+    tables = runs.results(_members(spark, a.path), a.profile, resampling=None if a.no_intervals else Intervals())
     _save(tables, a.out, a.overwrite)
     status = spark.read.parquet(f"{a.out.rstrip('/')}/status")
     _show(status)
@@ -78,11 +108,24 @@ def evaluate(a: argparse.Namespace) -> int:
     from voxelyard.sources import documents
 
     spark = session()
-    truth, groups = documents.truth_rows(documents.read_json(spark, a.ground_truth, documents.TRUTH))
-    tables = {n: spark.read.parquet(f"{a.path.rstrip('/')}/{n}") for n in ("outlines", "ceilings", "walls", "openings")}
+    _free(spark, a.out, a.overwrite)
+    odd = documents.unknown_fields(spark, a.ground_truth, {"property_id", "measurement_method", "rooms", "captures"}).limit(20).collect()
+    if odd:
+        raise ValueError("unknown fields in the ground truth: " + ", ".join(sorted(r["field"] for r in odd)))
+    doc = documents.read_json(spark, a.ground_truth, documents.TRUTH)
+    truth, groups = documents.truth_rows(doc)
+    captures, rooms = documents.captures_of(doc)
+    tables = {n: spark.read.parquet(f"{a.path.rstrip('/')}/{n}") for n in ("outlines", "ceilings", "walls", "openings", "status", "hashes")}
+    done = tables["status"].where("succeeded").selectExpr("capture_id as capture_name")
+    if wrong := ev.guarded(captures, tables["hashes"].withColumnRenamed("capture_id", "capture_name")).where("problem is not null").limit(20).collect():
+        raise ValueError("; ".join(f"{r['capture_name']}: {r['problem']}" for r in wrong))
     e = ev.evaluate(truth, documents.prediction_rows(tables)).persist()
     r = ev.repeatability(e, groups)
-    _save({"measurements": e, "repeatability": r, "openings": ev.openings_summary(e), "overall": ev.overall(e, r)}, a.out, a.overwrite)
+    _save({
+        "measurements": e, "repeatability": r, "openings": ev.openings_summary(e), "overall": ev.overall(e, r), "gates": ev.summary_status(e, ["metric"]),
+        "tier_walls": ev.summary_status(e.where("metric = 'wall_length'"), ["tier"]), "repeatability_gates": ev.summary_status(r, ["metric"]),
+        "rooms_all_tiers": ev.rooms_all_tiers(captures, rooms), "protocol": ev.protocol_warnings(captures, rooms, done),
+    }, a.out, a.overwrite)
     return 0
 
 
@@ -102,14 +145,17 @@ def stitch(a: argparse.Namespace) -> int:
     from pyspark.sql import functions as F
 
     from voxelyard.operators import register
+    from voxelyard.sources import documents
 
     spark = session()
-    walls = lambda p: spark.read.parquet(f"{p.rstrip('/')}/walls").select(
-        F.lit("pair").alias("pair"), "wall_id", *[
-            (F.col("offset") * F.col(n) + s * F.col(e)).alias(f"{c}{i}")
-            for i, e in ((1, "start_m"), (2, "end_m")) for c, n, s in (("x", "nx", -F.col("ny")), ("y", "ny", F.col("nx")))
-        ]
-    )
+    _free(spark, a.out, a.overwrite)
+    walls = lambda p: register.walls_as_segments(spark.read.parquet(f"{p.rstrip('/')}/walls").withColumn("pair", F.lit("pair")), ["pair"])
+    if a.anchors:
+        anchors = documents.anchor_rows(documents.read_json(spark, a.anchors, documents.ANCHORS))
+        transform, moved, matches = register.anchored_stitch(anchors, walls(a.path), walls(a.other), ["pair"])
+        outline = spark.read.parquet(f"{a.path.rstrip('/')}/outlines").withColumn("pair", F.lit("pair"))
+        _save({"stitch": transform, "walls": moved, "matches": matches, "outline": register.moved_outline(outline, transform, ["pair"])}, a.out, a.overwrite)
+        return 0
     _save({"stitch": register.auto_stitch(walls(a.path), walls(a.other), ["pair"])}, a.out, a.overwrite)
     return 0
 
@@ -119,8 +165,7 @@ def triangulate_media(a: argparse.Namespace) -> int:
     from voxelyard.sources import documents
 
     doc = documents.read_json(session(), a.path, documents.MANIFEST)
-    gate = doc.first()["maximum_reprojection_error_px"] or 3.0
-    _save({"points": register.triangulate(documents.observations(doc), ["track"], gate)}, a.out, a.overwrite)
+    _save({"points": register.triangulate(documents.observations(doc), ["track"])}, a.out, a.overwrite)
     return 0
 
 
@@ -171,13 +216,14 @@ def parser() -> argparse.ArgumentParser:
     profile = (("--profile",), {"choices": ("test", "fast", "quality"), "default": "fast"})
     add("validate", validate, out=False)
     add("reconstruct", reconstruct, profile, (("--contiguous",), {"action": "store_true"}))
-    add("run", run, profile)
-    add("batch", run, profile)
+    plain = (("--no-intervals",), {"action": "store_true"})
+    add("run", run, profile, plain)
+    add("batch", run, profile, plain)
     add("measure", measure, (("--trajectory",), {"required": True}))
     add("ablate", ablate, profile)
     add("evaluate", evaluate, (("--ground-truth",), {"required": True}))
     add("ingest", ingest)
-    add("stitch", stitch, (("other",), {}))
+    add("stitch", stitch, (("other",), {}), (("--anchors",), {"help": "JSON with source and target points that correspond"}))
     add("triangulate-media", triangulate_media)
     add("screen-damage", screen_damage, (("--metres-per-pixel",), {"type": float}))
     add("scope-repair", scope_repair, (("--decisions",), {"required": True}))

@@ -9,6 +9,9 @@ from voxelyard.config import GATES, GATE_SLACK, OPENING_PASS_RATE, REPEAT_SPREAD
 
 TARGET = ["capture_name", "metric", "target_id"]
 
+#: The input tiers of a benchmark (fixed values).
+TIERS = ("photo", "video", "lidar")
+
 
 def unpivot_scalars(df: DataFrame, ids: list[str], metrics: dict[str, str]) -> DataFrame:
     """Scalar columns to rows: ids, metric, target_id (null), value. Null values give no row."""
@@ -67,6 +70,57 @@ def statuses(evaluated: DataFrame, by: list[str]) -> DataFrame:
     return evaluated.groupBy(*by).agg(*[F.count_if(s == x).alias(x) for x in ("passed", "failed", "missing_prediction", "not_evaluated")])
 
 
+def summary_status(evaluated: DataFrame, by: list[str]) -> DataFrame:
+    """Per group one word: failed before missing_prediction before not_evaluated before passed (a metric's
+    gates, a tier's walls, a metric's repeatability)."""
+    s = F.col("status")
+    some = lambda x: F.coalesce(F.max(s == x), F.lit(False))
+    word = F.when(some("failed"), "failed").when(some("missing_prediction"), "missing_prediction").when(some("not_evaluated"), "not_evaluated").otherwise("passed")
+    return evaluated.groupBy(*by).agg(F.count("*").alias("n_measurements"), word.alias("status"))
+
+
+def rooms_all_tiers(captures: DataFrame, rooms: DataFrame, tiers: tuple[str, ...] = TIERS) -> DataFrame:
+    """One row: declared where every room has a capture of every tier, else not_met. captures: room_id, tier."""
+    per = captures.groupBy("room_id").agg(F.count_distinct(F.when(F.col("tier").isin(*tiers), F.col("tier"))).alias("n_tiers"))
+    met = rooms.select("room_id").distinct().join(per, "room_id", "full_outer").agg(F.count("*").alias("n_rooms"), F.coalesce(F.min(F.coalesce("n_tiers", F.lit(0))), F.lit(0)).alias("least"))
+    return met.select("n_rooms", F.when((F.col("n_rooms") > 0) & (F.col("least") == len(tiers)), "declared").otherwise("not_met").alias("status"))
+
+
+def protocol_warnings(captures: DataFrame, rooms: DataFrame, results: DataFrame, least_rooms: int = 3, tiers: tuple[str, ...] = TIERS) -> DataFrame:
+    """code, subject: what a benchmark lacks to be complete, and names that truth and results don't share.
+
+    captures: capture_name, room_id, tier, repeatability_group. rooms: room_id. results: capture_name.
+    """
+    lone = rooms.select("room_id").distinct().join(captures, "room_id", "left_anti").select(F.lit("room_without_capture").alias("code"), F.col("room_id").alias("subject"))
+    few = rooms.agg(F.count_distinct("room_id").alias("n")).where(F.col("n") < least_rooms).select(F.lit("too_few_rooms"), F.col("n").cast("string"))
+    seen = captures.agg(F.collect_set("tier").alias("seen"), F.count("repeatability_group").alias("n"))
+    absent = seen.select(F.lit("tier_missing"), F.explode(F.array_except(F.array(*map(F.lit, tiers)), "seen")))
+    unrepeated = seen.where("n = 0").select(F.lit("no_repeated_capture"), F.lit(None).cast("string"))
+    partly = captures.groupBy("room_id").agg(F.count_distinct("tier").alias("n")).where(F.col("n") < len(tiers)).select(F.lit("room_lacks_tiers"), "room_id")
+    extra = results.select("capture_name").distinct().join(captures, "capture_name", "left_anti").select(F.lit("result_without_truth"), "capture_name")
+    none = captures.select("capture_name").distinct().join(results, "capture_name", "left_anti").select(F.lit("truth_without_result"), "capture_name")
+    out = lone
+    for x in (few, absent, unrepeated, partly, extra, none):
+        out = out.union(x)
+    return out
+
+
+def guarded(captures: DataFrame, hashes: DataFrame) -> DataFrame:
+    """captures with problem: why a capture must not be scored, or null.
+
+    captures: capture_name, expected_input_sha256. hashes: capture_name, sha256. A name that could lead
+    out of a folder, a name that repeats, and an input other than the one that the truth was taken for.
+    """
+    n = captures.groupBy("capture_name").agg(F.count("*").alias("n"))
+    met = captures.join(n, "capture_name").join(hashes.select("capture_name", "sha256"), "capture_name", "left")
+    name = F.col("capture_name")
+    plain = ~name.rlike(r"[/\\]") & ~name.isin("", ".", "..")
+    problem = F.when(name.isNull() | ~plain, "the name is not a plain name").when(F.col("n") > 1, "the name repeats").when(
+        F.lower("expected_input_sha256") != F.lower("sha256"), "the input is not the one that the truth was taken for"
+    )
+    return met.withColumn("problem", problem).drop("n", "sha256")
+
+
 def repeatability(evaluated: DataFrame, groups: DataFrame) -> DataFrame:
     """groups: capture_name, repeatability_group. Spread of ceiling heights and wall lengths over the
     captures of each group of two or more, its status, the accuracy of the group and the class."""

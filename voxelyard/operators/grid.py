@@ -52,7 +52,7 @@ def boundary_edges(cells: DataFrame, by: list[str]) -> DataFrame:
     return every.join(taken, [*by, "nx", "ny"], "left_anti").select(*by, *[F.col(f"{c}_").alias(c if c not in by else f"{c}_") for c in ("ax", "ay", "bx")], F.col("by_").alias("by"))
 
 
-def components(cells: DataFrame, by: list[str], rounds: int = 200) -> DataFrame:
+def components(cells: DataFrame, by: list[str]) -> DataFrame:
     """cells with comp_x, comp_y (the smallest cell of the 4-connected component) and comp_size.
 
     Labels spread to neighbours and then jump to their label's label, so rounds grow with the
@@ -61,7 +61,7 @@ def components(cells: DataFrame, by: list[str], rounds: int = 200) -> DataFrame:
     """
     label = F.struct("cx", "cy")
     now = cut(cells.select(*by, *KEY).withColumn("label", label))
-    for _ in range(rounds):
+    while True:
         steps = F.array(*[F.struct(F.lit(a).cast("long").alias("dx"), F.lit(b).cast("long").alias("dy")) for a, b in [(0, 0), *NEAR_4]])
         told = now.select(*by, *KEY, "label", F.explode(steps).alias("s")).select(
             *by, (F.col("cx") + F.col("s.dx")).alias("cx"), (F.col("cy") + F.col("s.dy")).alias("cy"), "label",

@@ -7,6 +7,7 @@ offset, start_m, end_m (along (-ny, nx)), height_m. Points: by, fx, fy (floor) a
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -248,11 +249,27 @@ def adjacency(rows: DataFrame, areas: DataFrame, keys: list[str], wall: list[str
     return sides.where((F.col("probes_a") >= least) & (F.col("probes_b") >= least))
 
 
+@dataclass
+class Studied:
+    openings: DataFrame
+    rejections: DataFrame
+    adjacency: DataFrame  # per opening that joins two regions: probes_a, probes_b, area_a_m2, area_b_m2
+    status: DataFrame  # per capture: status, reason, n_walls, n_candidates, n_openings, n_rejections
+
+
 def analyse(points: DataFrame, walls: DataFrame, cells: DataFrame, ceilings: DataFrame | None, capture: list[str] = ["capture_id"], config: Structure = Structure()) -> tuple[DataFrame, DataFrame]:
-    """All of the above: (openings, rejections).
+    """study's openings and rejections."""
+    got = study(points, walls, cells, ceilings, capture, config, whole=False)
+    return got.openings, got.rejections
+
+
+def study(points: DataFrame, walls: DataFrame, cells: DataFrame, ceilings: DataFrame | None, capture: list[str] = ["capture_id"], config: Structure = Structure(), whole: bool = True) -> Studied:
+    """All of the above.
 
     points: capture, fx, fy, h. walls: capture, wall_id, nx, ny, offset. cells: trimmed boundary cells.
-    ceilings: capture, ceiling_height, or None. Rejections keep the wall, the width and the reason.
+    ceilings: capture, ceiling_height, or None. Rejections keep the wall, the width and the reason; walls
+    that are mostly unscanned, or too short for an opening between two flanks, reject as a whole (no
+    run, no width). Without `whole` adjacency and status are left empty, which spares their jobs.
     """
     wall = [*capture, "wall_id"]
     run = [*wall, "run_start", "run_end"]
@@ -267,7 +284,13 @@ def analyse(points: DataFrame, walls: DataFrame, cells: DataFrame, ceilings: Dat
     size_of = sizes.select(*wall, "start_m", "end_m", "bins", "bin_m", "height_m")
     bins = cut(profile(near.select(*wall, "along", "h").join(size_of.withColumnRenamed("height_m", "vy_top"), wall), size_of, wall, config))
     solid = bins.groupBy(*wall).agg(F.avg((F.col("material") & ~F.col("open_bin")).cast("double")).alias("solid"), F.avg(F.col("material").cast("double")).alias("material_share"))
-    sound = solid.where(F.col("material_share") >= config.minimum_wall_solid)
+    open_walls = bins.groupBy(*wall).agg(F.max("open_bin").alias("some_open"))
+    sides = solid.join(sizes.select(*wall, "bins", "bin_m", (F.col("end_m") - F.col("start_m")).alias("length_m")), wall).join(open_walls, wall)
+    # a flank, and a bin for the edge, on each side
+    least_bins = F.ceil(F.lit(config.opening_width_m[0]) / F.col("bin_m")) + 2 * (config.flank_bins + 1)
+    sides = cut(sides.withColumn("unfit", F.when(F.col("material_share") < config.minimum_wall_solid, F.format_string("only %.0f %% of the wall is scanned as solid", F.col("material_share") * 100)).when(
+        F.col("bins") < least_bins, F.format_string("a wall of %.2f m has no room for an opening between two flanks", "length_m"))))
+    sound = sides.where("unfit is null")
     closed = bins.join(sound.select(*wall), wall).withColumn("closed", F.col("material") & ~F.col("open_bin"))
     found = runs(closed.where("open_bin").select(*wall, F.col("bin").cast("long").alias("bin")), wall)
     found = flanks(found, closed, wall, config.flank_bins).join(sizes, wall).join(solid, wall)
@@ -284,7 +307,11 @@ def analyse(points: DataFrame, walls: DataFrame, cells: DataFrame, ceilings: Dat
     far = floor_support(spans, cells, capture, run, -F.col("inside"), config).withColumnRenamed("support", "far_floor")
     judged = edged.join(behind, run, "left").join(ahead, run, "left").join(far, run, "left").na.fill(0, ["pass_points"]).na.fill(0.0, ["floor_support", "far_floor"])
     ok = published(F.col("pass_points"), F.col("far_floor"), config)
-    judged = capped(cut(judged.withColumn("accepted", ok)), wall, "run_start", F.col("accepted"), config.maximum_openings_per_wall)
+    judged = cut(judged.withColumn("accepted", ok))
+    numbered = capped(judged.where("accepted"), wall, "run_start", F.lit(True), config.maximum_openings_per_wall)
+    # a wall with its full number of openings looks at no further run, whatever else would be said of it
+    last = numbered.where(F.substring_index("opening_id", "-O", -1).cast("int") == config.maximum_openings_per_wall).select(*wall, F.col("run_start").alias("full_from"))
+    judged = judged.join(numbered.select(*wall, "run_start", "opening_id"), [*wall, "run_start"], "left")
     openings = judged.where("opening_id is not null").select(
         *wall, "opening_id", "kind", "left_m", "right_m", (F.col("right_m") - F.col("left_m")).alias("width_m"), "sill_m", "head_m", "void_m",
         "left_support", "right_support", "floor_support", "far_floor", "pass_points", "nx", "ny", "offset", "inside",
@@ -292,8 +319,44 @@ def analyse(points: DataFrame, walls: DataFrame, cells: DataFrame, ceilings: Dat
     )
     no_band = kept.where("kind is null").select(*wall, "run_start", F.col("bin_width_m").alias("width_m"), F.lit("the bins share no void").alias("reason"))
     unseen = judged.where("opening_id is null").select(
-        *wall, "run_start", F.col("bin_width_m").alias("width_m"),
-        F.when(F.col("capped"), "the wall has its full number of openings").otherwise("nothing was observed behind the void").alias("reason"),
+        *wall, "run_start", F.col("bin_width_m").alias("width_m"), F.lit("nothing was observed behind the void").alias("reason")
     )
     rejected = found.where("reason is not null").select(*wall, "run_start", F.col("bin_width_m").alias("width_m"), "reason")
-    return openings, rejected.unionByName(no_band).unionByName(unseen)
+    every = rejected.unionByName(no_band).unionByName(unseen).join(last, wall, "left")
+    late = F.col("run_start") > F.col("full_from")
+    every = every.withColumn("reason", F.when(late, "the wall has its full number of openings").otherwise(F.col("reason"))).drop("full_from")
+    unfit = sides.where("unfit is not null and some_open").select(*wall, F.lit(None).cast("long").alias("run_start"), F.lit(None).cast("double").alias("width_m"), F.col("unfit").alias("reason"))
+    every = every.unionByName(unfit)
+    if not whole:
+        return Studied(openings, every, openings.limit(0), openings.limit(0))
+    openings, every = cut(openings), cut(every)
+    carriers = base.join(openings.select(*wall).distinct(), wall, "left_semi")
+    joined = adjacency(openings, side_areas(cells, carriers, capture, wall, config), [*wall, "opening_id"], wall, config=config)
+    return Studied(openings, every, joined, opening_status(points, walls, sizes, found, openings, every, ceilings, capture, config))
+
+
+def opening_status(points: DataFrame, walls: DataFrame, sizes: DataFrame, candidates: DataFrame, openings: DataFrame, rejections: DataFrame, ceilings: DataFrame | None, capture: list[str], config: Structure = Structure()) -> DataFrame:
+    """Per capture that has points: available, or unavailable with the first reason that holds.
+
+    The reasons: no wall, too few points, too little room under the ceiling, no wall of enough scanned
+    extent. A capture without points here has no floor; `structure_status` gives it the fifth reason.
+    """
+    count = lambda df, name: df.groupBy(*capture).agg(F.count("*").alias(name))
+    met = count(points, "n_points")
+    for df, name in ((walls, "n_walls"), (sizes, "n_profiles"), (candidates, "n_candidates"), (openings, "n_openings"), (rejections, "n_rejections")):
+        met = met.join(count(df, name), capture, "left")
+    met = met.na.fill(0)
+    top = F.lit(config.ceiling_above_floor_m[1])
+    if ceilings is not None:
+        met = met.join(ceilings.select(*capture, "ceiling_height"), capture, "left")
+        top = F.coalesce(F.col("ceiling_height") - config.ceiling_clearance_m, top)
+    reason = (
+        F.when(F.col("n_walls") == 0, "no wall was found that could carry an opening")
+        .when(F.col("n_points") < config.minimum_plane_inliers, "too few points to profile the walls")
+        .when(top <= config.wall_clearance_m, "too little height between floor and ceiling")
+        .when(F.col("n_profiles") == 0, "no wall was scanned along enough of its length")
+    )
+    return met.select(
+        *capture, F.when(reason.isNull(), "available").otherwise("unavailable").alias("status"), reason.alias("reason"),
+        "n_walls", "n_candidates", "n_openings", "n_rejections",
+    )

@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelyard.config import PROFILES, Drift, Reconstruction, Structure
-from voxelyard.operators import drift, frames, grid, openings, planes, polygon, project, validate
+from voxelyard.config import PROFILES, Drift, Intervals, Reconstruction, Structure
+from voxelyard.operators import capabilities, drift, frames, grid, intervals, openings, planes, polygon, project, resample, validate
 from voxelyard.operators.cut import cut
 from voxelyard.sources import capture as cap
 
@@ -32,7 +32,8 @@ class Reconstructed:
     points: DataFrame  # capture_id, frame_id, x, y, z: before fusion
     cloud: DataFrame  # capture_id, x, y, z: fused
     poses: DataFrame
-    counts: DataFrame  # capture_id, sampled, valid
+    counts: DataFrame  # capture_id, sampled, valid, frames, skipped
+    frames: DataFrame  # capture_id, frame_id, sampled, valid, problem (why the frame was skipped, or null)
 
 
 def reconstruct(members: DataFrame, config: Reconstruction = PROFILES["fast"], evenly: bool = True, only: DataFrame | None = None, offsets: DataFrame | None = None) -> Reconstructed:
@@ -45,7 +46,8 @@ def reconstruct(members: DataFrame, config: Reconstruction = PROFILES["fast"], e
     matched = frames.match_frames(depth.where("code is null"), conf.where("code is null"), poses)
     pick = frames.keyframes if evenly else frames.contiguous
     wanted = cut(pick(matched, config.maximum_frames))
-    pixels = cap.pixels(members, depth, conf, wanted, config.pixel_stride)
+    decoded = cap.pixels(members, depth, conf, wanted, config.pixel_stride)
+    pixels = decoded.where("problem is null")
     cam = cut(cap.camera_matrices(members, root)).where("valid").select("capture_id", *[F.col(c).alias(f"k{c}") for c in ("fx", "fy", "cx", "cy")])
     if offsets is not None:
         poses = project.offset_poses(poses, offsets, ["capture_id", "frame_id"])
@@ -57,8 +59,17 @@ def reconstruct(members: DataFrame, config: Reconstruction = PROFILES["fast"], e
     met = met.withColumns({"fx": F.col("kfx") * sx, "fy": F.col("kfy") * sy, "cx": F.col("kcx") * sx, "cy": F.col("kcy") * sy})
     points = project.to_world(project.backproject(met)).select("capture_id", "frame_id", "x", "y", "z")
     fused = project.voxel_fuse(points, config.voxel_size_m).select("capture_id", *[F.col(c).cast("float").alias(c) for c in "xyz"], "n_points")
-    counts = pixels.withColumn("z", project.depth_metres("depth_mm")).groupBy("capture_id").agg(F.count("*").alias("sampled"), F.count_if(project.depth_gate("z", "confidence", config)).alias("valid"))
-    return Reconstructed(points, fused, poses, counts)
+    per_frame = decoded.withColumn("z", project.depth_metres("depth_mm")).groupBy("capture_id", "frame_id").agg(
+        F.count("u").alias("sampled"), F.count_if(project.depth_gate("z", "confidence", config)).alias("valid"), F.max("problem").alias("problem")
+    )
+    asked = cut(wanted.select("capture_id", "frame_id").join(per_frame, ["capture_id", "frame_id"], "left").select(
+        "capture_id", "frame_id", F.coalesce("sampled", F.lit(0)).alias("sampled"), F.coalesce("valid", F.lit(0)).alias("valid"),
+        F.coalesce("problem", F.when(F.col("sampled").isNull(), "the images of the frame are missing").when(F.col("valid") == 0, "no pixel passes the depth gate")).alias("problem"),
+    ))
+    counts = asked.groupBy("capture_id").agg(
+        F.sum("sampled").alias("sampled"), F.sum("valid").alias("valid"), F.count("*").alias("frames"), F.count("problem").alias("skipped")
+    )
+    return Reconstructed(points, fused, poses, counts, asked)
 
 
 @dataclass
@@ -70,6 +81,12 @@ class Measured:
     openings: DataFrame
     rejections: DataFrame
     warnings: DataFrame
+    opening_status: DataFrame
+    adjacency: DataFrame
+    laid: DataFrame  # capture_id, fx, fy, h: the cloud on the floor
+    ground: DataFrame  # capture_id, x, y: the points of the floor
+    ceiling_heights: DataFrame  # capture_id, height: the points of the ceiling
+    cells: DataFrame  # the trimmed cells of the floor
 
 
 def measure(cloud: DataFrame, trajectory: DataFrame, config: Structure = Structure()) -> Measured:
@@ -87,14 +104,43 @@ def measure(cloud: DataFrame, trajectory: DataFrame, config: Structure = Structu
     ceilings = cut(planes.detect_ceiling(points, floors, KEY, config))
     found = planes.detect_walls(laid.select("capture_id", F.col("fx").alias("x"), F.col("fy").alias("z"), "h"), KEY, config)
     walls = cut(openings.wall_ids(found, KEY, "nx", "nz").withColumnRenamed("nz", "ny"))
-    opened, rejected = openings.analyse(laid, walls, cells, ceilings, KEY, config)
-    return Measured(floors, ceilings, outline, walls, opened, rejected, structure_warnings(floors, ceilings, outline, walls, config))
+    seen = openings.study(laid, walls, cells, ceilings, KEY, config)
+    above = points.join(ceilings.select("capture_id", *[F.col(c).alias(f"c{c}") for c in ("nx", "ny", "nz", "d")]), KEY).where(
+        F.abs(F.col("cnx") * F.col("x") + F.col("cny") * F.col("y") + F.col("cnz") * F.col("z") + F.col("cd")) <= config.plane_inlier_m
+    )
+    heights = planes.on_floor(above.select("capture_id", "x", "y", "z"), framed, KEY).select("capture_id", F.col("h").alias("height"))
+    return Measured(
+        floors, ceilings, outline, walls, seen.openings, seen.rejections, structure_warnings(floors, ceilings, outline, walls, config, seen), seen.status, seen.adjacency,
+        laid, ground, heights, cells,
+    )
 
 
-def structure_warnings(floors: DataFrame, ceilings: DataFrame, outline: DataFrame, walls: DataFrame, config: Structure = Structure()) -> DataFrame:
+def intervals_of(m: Measured, config: Intervals = Intervals(), structure: Structure = Structure()) -> tuple[DataFrame, DataFrame]:
+    """(intervals, notes) of what measure gives, by resampling its points with the planes held fixed."""
+    plan = cut(resample.outline_interval(m.ground, KEY, ["x", "y"], config, structure))
+    floor = m.laid.where(F.abs("h") <= structure.plane_inlier_m).select("capture_id", F.col("h").alias("height"))
+    ceiling = cut(resample.ceiling_interval(floor, m.ceiling_heights, KEY, ["height"], config))
+    opened = m.openings.select("capture_id").distinct()
+    if opened.isEmpty():
+        widths = m.openings.select("capture_id", "opening_id", F.col("width_m").alias("value"), *[F.lit(None).cast("double").alias(c) for c in ("low", "high")], F.lit(0).cast("long").alias("n_samples"))
+    else:  # captures without an opening have nothing to resample
+        some = [df.join(opened, KEY, "left_semi") for df in (m.laid, m.walls, m.cells, m.ceilings)]
+        widths = cut(intervals.width_intervals(intervals.opening_widths(*some, KEY, config, structure), m.openings, KEY, config))
+    return intervals.assemble(m.outlines, plan, m.ceilings, ceiling, m.openings, widths, m.floors.select("capture_id"), KEY, config)
+
+
+def structure_warnings(
+    floors: DataFrame, ceilings: DataFrame, outline: DataFrame, walls: DataFrame, config: Structure = Structure(), seen: openings.Studied | None = None
+) -> DataFrame:
     """Per capture: warnings, an array of the messages whose conditions hold, in order."""
     n_walls = walls.groupBy(*KEY).agg(F.count("*").alias("n_walls"))
     met = floors.join(ceilings.select("capture_id", "ceiling_height"), KEY, "left").join(outline, KEY, "left").join(n_walls, KEY, "left")
+    none = F.lit(None).cast("string")
+    if seen is None:
+        met = met.withColumns({"unseen": none, "n_openings": F.lit(0), "n_adjacent": F.lit(0)})
+    else:
+        joined = seen.adjacency.groupBy(*KEY).agg(F.count("*").alias("n_adjacent"))
+        met = met.join(seen.status.select("capture_id", F.col("reason").alias("unseen"), "n_openings"), KEY, "left").join(joined, KEY, "left")
     c = F.col
     messages = F.array(
         F.when(c("ceiling_height").isNull(), "no ceiling was found; heights are unavailable"),
@@ -106,14 +152,18 @@ def structure_warnings(floors: DataFrame, ceilings: DataFrame, outline: DataFram
         F.when(c("area_m2") > 200, "the area is larger than a room's"),
         F.when(c("length_m") > 20, "a dimension is larger than a room's"),
         F.when(c("sprawl") > config.sprawl_ratio, "the outline is long for its area"),
-        F.when(F.coalesce("n_walls", F.lit(0)) == 0, "no wall was found"),
+        F.when(F.coalesce("n_walls", F.lit(0)) == 0, "no wall was found").when(F.col("n_walls") < 2, "fewer than two walls were found"),
+        F.when(c("unseen").isNotNull(), F.concat(F.lit("openings are unavailable: "), "unseen")),
+        F.when(F.coalesce("n_openings", F.lit(0)) > 0, "opening widths are estimates from the scan and not judged against truth"),
+        F.when(F.coalesce("n_adjacent", F.lit(0)) > 0, "regions that an opening joins are scanned floor, not rooms with names"),
     )
     return met.select("capture_id", F.filter(messages, lambda m: m.isNotNull()).alias("warnings"))
 
 
-def results(members: DataFrame, profile: str = "fast", structure: Structure = Structure()) -> dict[str, DataFrame]:
+def results(members: DataFrame, profile: str = "fast", structure: Structure = Structure(), resampling: Intervals | None = Intervals()) -> dict[str, DataFrame]:
     """Every published table of a batch of captures, keyed by capture_id. A capture that fails has a
-    status and its issues, and doesn't touch the others."""
+    status and its issues, and doesn't touch the others; a frame that fails is an issue of its capture
+    and left out. resampling None: no intervals, and a note that says so."""
     issues, summary = validate.validate(members)
     good = summary.where("valid").select("capture_id")
     got = reconstruct(members, PROFILES[profile], only=good)
@@ -123,21 +173,43 @@ def results(members: DataFrame, profile: str = "fast", structure: Structure = St
     extent = project.bounds(got.cloud, KEY)
     status = summary.select("capture_id", "valid", "n_matched", "errors", "warnings").join(measured.floors.select("capture_id", F.lit(True).alias("measured")), KEY, "left")
     status = status.withColumn("succeeded", F.coalesce("measured", F.lit(False)))
-    quality = quality_metrics(got.counts, measured.floors, measured.outlines, measured.warnings)
+    points = got.cloud.groupBy(*KEY).agg(F.count("*").alias("points"))
+    quality = quality_metrics(got.counts, measured.floors, measured.outlines, measured.warnings, points, measured.ceilings, measured.walls, path)
+    if resampling is None:
+        spans, notes = None, measured.floors.select("capture_id", F.lit("intervals were not asked for").alias("message"))
+    else:
+        spans, notes = intervals_of(measured, resampling, structure)
+    claims = capabilities.capabilities(summary.select("capture_id"), measured.ceilings, measured.opening_status, measured.adjacency, KEY)
+    skipped = got.frames.where("problem is not null").select(
+        "capture_id", F.lit("warning").alias("severity"), F.lit("frame_skipped").alias("code"), F.concat(F.lit("frame "), "frame_id", F.lit(": "), "problem").alias("message")
+    )
+    issues = issues.unionByName(skipped)
     return {
-        "status": status, "issues": issues, "cloud": got.cloud, "bounds": extent, "trajectory": path, "counts": got.counts, "floors": measured.floors,
+        "status": status, "issues": issues, "frames": got.frames, "cloud": got.cloud, "bounds": extent, "trajectory": path, "counts": got.counts, "floors": measured.floors,
         "ceilings": measured.ceilings, "outlines": measured.outlines, "walls": measured.walls, "openings": measured.openings,
         "rejections": measured.rejections, "warnings": measured.warnings, "quality": quality, "hashes": cap.capture_hashes(members),
-    }
+        "opening_status": measured.opening_status, "adjacency": measured.adjacency, "capabilities": claims, "interval_notes": notes,
+    } | ({} if spans is None else {"intervals": spans})
 
 
-def quality_metrics(counts: DataFrame, floors: DataFrame, outline: DataFrame, warnings: DataFrame) -> DataFrame:
-    """Ratios clipped to 0 .. 1, and confidence: caution where a warning stands."""
+def quality_metrics(
+    counts: DataFrame, floors: DataFrame, outline: DataFrame, warnings: DataFrame, points: DataFrame, ceilings: DataFrame, walls: DataFrame, path: DataFrame,
+    least_support: float = 0.60,
+) -> DataFrame:
+    """Per capture: ratios clipped to 0 .. 1, the floor's fit and its agreement with the world's up, the number
+    of walls, whether there is a ceiling, the distance between the path's ends, and confidence: caution where
+    a warning stands or the outline holds little floor, else good. points: capture_id, points (fused)."""
     clip = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
-    met = counts.join(floors.select("capture_id", "inlier_ratio", "rmse_m"), KEY, "left").join(outline.select("capture_id", "support"), KEY, "left").join(warnings, KEY, "left")
+    n_walls = walls.groupBy(*KEY).agg(F.count("*").alias("n_walls"))
+    roof = ceilings.select("capture_id").distinct().withColumn("roof", F.lit(True))
+    met = counts.join(floors.select("capture_id", "inlier_ratio", "rmse_m", "ny"), KEY, "left").join(outline.select("capture_id", "support"), KEY, "left").join(warnings, KEY, "left")
+    met = met.join(points, KEY, "left").join(n_walls, KEY, "left").join(roof, KEY, "left").join(path.select("capture_id", "end_distance_m"), KEY, "left")
+    doubt = (F.coalesce(F.size("warnings"), F.lit(0)) > 0) | (F.coalesce("support", F.lit(0.0)) < least_support)
     return met.select(
-        "capture_id", clip(F.col("valid") / F.greatest("sampled", F.lit(1))).alias("valid_depth_ratio"), clip(F.col("inlier_ratio")).alias("floor_inlier_ratio"),
-        "rmse_m", clip(F.col("support")).alias("boundary_support"), F.when(F.coalesce(F.size("warnings"), F.lit(0)) > 0, "caution").otherwise("nominal").alias("confidence"),
+        "capture_id", clip(F.col("valid") / F.greatest("sampled", F.lit(1))).alias("valid_depth_ratio"),
+        clip(F.coalesce("points", F.lit(0)) / F.greatest("valid", F.lit(1))).alias("voxel_retention_ratio"), clip(F.col("inlier_ratio")).alias("floor_inlier_ratio"),
+        "rmse_m", F.least(F.lit(1.0), F.abs("ny")).alias("up_alignment"), F.coalesce("n_walls", F.lit(0)).alias("n_walls"), F.coalesce("roof", F.lit(False)).alias("ceiling_available"),
+        clip(F.col("support")).alias("boundary_support"), F.col("end_distance_m").alias("closure_m"), F.when(doubt, "caution").otherwise("good").alias("confidence"),
     )
 
 

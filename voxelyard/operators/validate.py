@@ -68,6 +68,21 @@ def validate(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return every, cut(out.withColumn("valid", F.col("errors") == 0))
 
 
+def require_valid(members: DataFrame) -> DataFrame:
+    """The matched frames of every capture (capture_id, frame_id); a capture with an error ends the job.
+
+    The strict way in, for callers that would rather have no result than a partial one.
+    """
+    issues, summary = validate(members)
+    wrong = issues.where("severity = 'error'").groupBy("capture_id").agg(F.min(F.concat("code", F.lit(": "), "message")).alias("why"))
+    root = cut(cap.roots(members))
+    good = cap.poses(members, root).where("problem is null")
+    matched = fr.match_frames(*[cap.frame_files(members, root, x).where("code is null") for x in ("depth", "confidence")], good, ["capture_id", "frame_id"])
+    met = summary.select("capture_id").join(wrong, "capture_id", "left").join(matched.select("capture_id", "frame_id"), "capture_id", "left")
+    stop = F.when(F.col("why").isNotNull(), F.raise_error(F.concat("capture_id", F.lit(" is not valid: "), "why")))
+    return met.withColumn("stop", stop).where("stop is null").select("capture_id", "frame_id")
+
+
 def _images(members: DataFrame, depth: DataFrame, conf: DataFrame, matched: DataFrame) -> list[DataFrame]:
     """Rules on the images of three frames of each capture: the first, the middle and the last."""
     w = Window.partitionBy("capture_id")

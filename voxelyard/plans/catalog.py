@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from voxelyard.config import Drift, Intervals, Reconstruction, Structure
 from voxelyard.functions.columns import rounded
-from voxelyard.operators import drift, evaluate, frames, grid, media, openings, planes, polygon, project, register, resample
+from voxelyard.operators import capabilities, drift, evaluate, frames, grid, media, openings, planes, polygon, project, register, resample
 from voxelyard.plans import lens
 from voxelyard.sources import capture as cap
 
@@ -257,7 +257,7 @@ LCG = "((1103515245 * ((({}) % 2147483648 + 2147483648) % 2147483648) + 12345) %
 
 
 @query(f"""+ s AS (SELECT capture, x, y, z, row_number() OVER (PARTITION BY capture ORDER BY x, y, z) - 1 AS rn, count(*) OVER (PARTITION BY capture) AS m FROM cloud),
-    h0 AS (SELECT capture, m, CAST(h AS BIGINT) AS h, {LCG.format('h * 7919 + 17 * 104729 + 15485863')} % m AS i0 FROM (SELECT DISTINCT capture, m FROM s), range(64) t(h)),
+    h0 AS (SELECT capture, m, CAST(h AS BIGINT) AS h, {LCG.format('h * 7919 + 17 * 104729 + 15485863')} % m AS i0 FROM (SELECT DISTINCT capture, m FROM s), range(300) t(h)),
     h1 AS (SELECT *, (i0 + 1 + {LCG.format('h * 7919 + 17 * 104729 + 2 * 15485863')} % (m - 1)) % m AS i1, {LCG.format('h * 7919 + 17 * 104729 + 3 * 15485863')} % (m - 2) AS t0 FROM h0),
     h2 AS (SELECT *, t0 + CASE WHEN t0 >= least(i0, i1) THEN 1 ELSE 0 END AS t1 FROM h1), h3 AS (SELECT *, t1 + CASE WHEN t1 >= greatest(i0, i1) THEN 1 ELSE 0 END AS i2 FROM h2),
     g AS (SELECT h3.capture, h, a.x AS x0, a.y AS y0, a.z AS z0, b.x - a.x AS ux, b.y - a.y AS uy, b.z - a.z AS uz, c.x - a.x AS vx, c.y - a.y AS vy, c.z - a.z AS vz
@@ -267,7 +267,7 @@ LCG = "((1103515245 * ((({}) % 2147483648 + 2147483648) % 2147483648) + 12345) %
     k AS (SELECT p.capture, h, count(*) FILTER (abs(a * s.x + b * s.y + c * s.z - (a * x0 + b * y0 + c * z0)) <= 0.3) AS inliers FROM p JOIN s USING (capture) GROUP BY ALL)
     SELECT capture, max(inliers) AS inliers, CAST(arg_max(h, (inliers, -h)) AS INTEGER) AS h FROM k GROUP BY capture""", lens.CLOUD)
 def ransac_best_plane(spark: SparkSession, sf: str) -> DataFrame:
-    return planes.ransac(lens.cloud(spark, sf), ["capture"], ["x", "y", "z"], 64, 17, 0.3).select("capture", "inliers", "h")
+    return planes.ransac(lens.cloud(spark, sf), ["capture"], ["x", "y", "z"], 300, 17, 0.3).select("capture", "inliers", "h")
 
 
 @query("""SELECT event_type, round(quantile_cont("value", 0.99) - quantile_cont("value", 0.01), 6) AS span, count(*) AS n FROM events GROUP BY event_type""")
@@ -360,7 +360,11 @@ def segment_intersections(spark: SparkSession, sf: str) -> DataFrame:
     return polygon.crossings(ring, ["capture"])
 
 
-@query()
+@query("""+ he AS (SELECT p.capture, p.x, p.y FROM cloud p JOIN cloud q ON q.capture = p.capture AND (q.x <> p.x OR q.y <> p.y)
+        WHERE NOT EXISTS (SELECT 1 FROM cloud c WHERE c.capture = p.capture AND ((q.x - p.x) * (c.y - p.y) - (q.y - p.y) * (c.x - p.x) < 0
+            OR ((q.x - p.x) * (c.y - p.y) - (q.y - p.y) * (c.x - p.x) = 0 AND pow(c.x - p.x, 2) + pow(c.y - p.y, 2) > pow(q.x - p.x, 2) + pow(q.y - p.y, 2))))),
+    hv AS (SELECT DISTINCT capture, x, y FROM he), hs AS (SELECT capture, min((x, y)) AS s FROM hv GROUP BY capture)
+    SELECT hv.capture, CAST(row_number() OVER (PARTITION BY hv.capture ORDER BY CASE WHEN x = s[1] AND y = s[2] THEN 0 ELSE 1 END, atan2(y - s[2], x - s[1])) - 1 AS INTEGER) AS no, x, y FROM hv JOIN hs USING (capture)""", lens.CLOUD)
 def convex_outline(spark: SparkSession, sf: str) -> DataFrame:
     return polygon.hulls(lens.cloud(spark, sf), ["capture"])
 
@@ -533,6 +537,21 @@ def adjacency(spark: SparkSession, sf: str) -> DataFrame:
     return openings.adjacency(rows, areas, ["capture", "wall"], ["capture", "wall"], (0.9, 1.4), config)
 
 
+CAPABLE = ", ".join(f"({i}, '{n}', {'NULL' if s is None else repr(s)})" for i, (n, s, _) in enumerate(capabilities.CAPABILITIES, 1))
+
+
+@query(f"""+ cp AS (SELECT DISTINCT capture FROM cloud), ca(place, capability, fixed) AS (VALUES {CAPABLE})
+    SELECT capture, CAST(place AS INTEGER) AS place, capability, CASE WHEN capability IN ('wall_identity', 'opening_detection') THEN CASE WHEN capture % 3 <> 0 THEN 'supported_with_limitations' ELSE 'not_evaluated' END
+        WHEN capability = 'room_adjacency' THEN CASE WHEN capture % 4 = 0 THEN 'supported_with_limitations' ELSE 'not_evaluated' END ELSE fixed END AS status FROM cp CROSS JOIN ca""", lens.CLOUD)
+def capability_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Captures by number: every third without openings, every fourth with adjacent regions, every second with a ceiling."""
+    c = lens.cloud(spark, sf).select("capture").distinct()
+    ready = F.when(F.col("capture") % 3 != 0, "available").otherwise("unavailable")
+    status = c.select("capture", ready.alias("status"), F.lit(None).cast("string").alias("reason"), *[F.lit(2).alias(n) for n in ("n_walls", "n_candidates", "n_openings", "n_rejections")])
+    got = capabilities.capabilities(c, c.where("capture % 2 = 0"), status, c.where("capture % 4 = 0"), ["capture"])
+    return got.select("capture", "place", "capability", "status")
+
+
 # ---- drift and intervals
 
 FLOOR = "CAST(0 AS DOUBLE) AS nx, CAST(1 AS DOUBLE) AS ny, CAST(0 AS DOUBLE) AS nz"
@@ -606,7 +625,7 @@ def bootstrap_mean_interval(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def bootstrap_outline(spark: SparkSession, sf: str) -> DataFrame:
     c = lens.cloud(spark, sf)
-    return resample.outline_interval(c, ["capture"], ["vec_id"], Intervals(resamples=8, minimum_successes=4), Structure(grid_size_m=0.5, concave_simplify_m=0.6))
+    return resample.outline_interval(c, ["capture"], ["vec_id"], Intervals(), Structure(grid_size_m=0.5, concave_simplify_m=0.6))
 
 
 # ---- registration
@@ -623,6 +642,20 @@ def rigid_fit(spark: SparkSession, sf: str) -> DataFrame:
     return register.rigid_fit(p, ["capture"]).select("capture", "n", *r("theta", "dx", "dy", digits=5), *r("rmse_m", digits=4))
 
 
+@query("""+ m AS (SELECT capture, count(*) AS n, avg(sx) AS msx, avg(sy) AS msy, avg(tx) AS mtx, avg(ty) AS mty, covar_pop(sx, tx) + covar_pop(sy, ty) AS d, covar_pop(sx, ty) - covar_pop(sy, tx) AS c FROM pairs GROUP BY capture),
+    f AS (SELECT capture, n, atan2(c, d) AS theta, mtx - (cos(atan2(c, d)) * msx - sin(atan2(c, d)) * msy) AS dx, mty - (sin(atan2(c, d)) * msx + cos(atan2(c, d)) * msy) AS dy FROM m)
+    SELECT capture, f.n, round(theta, 5) AS theta, round(dx, 5) AS dx, round(dy, 5) AS dy, round(max(sqrt(pow(cos(theta) * sx - sin(theta) * sy + dx - tx, 2) + pow(sin(theta) * sx + cos(theta) * sy + dy - ty, 2))), 4) AS max_m, CASE WHEN f.n < 2 THEN 'fewer than two anchors' END AS problem
+    FROM f JOIN pairs USING (capture) GROUP BY ALL""", lens.POSE, PAIRS)
+def anchored_transform(spark: SparkSession, sf: str) -> DataFrame:
+    """Each capture's poses are anchors of its turned and shifted copy; a wall is laid on its copy."""
+    p = lens.pose(spark, sf).withColumns({"sx": F.col("tx"), "sy": F.col("tz")})
+    a = F.lit(0.4)
+    p = p.select("capture", "sx", "sy", (F.col("sx") * F.cos(a) - F.col("sy") * F.sin(a) + 3 + 0.01 * F.col("qy")).alias("tx"), (F.col("sx") * F.sin(a) + F.col("sy") * F.cos(a) - 2 + 0.01 * F.col("qw")).alias("ty"))
+    wall = p.select("capture").distinct().select("capture", F.lit("W01").alias("wall_id"), *[F.lit(v).alias(n) for n, v in (("x1", 0.0), ("y1", 0.0), ("x2", 2.0), ("y2", 0.0))])
+    transform, _, _ = register.anchored_stitch(p, wall, wall, ["capture"])
+    return transform.select("capture", "n", *r("theta", "dx", "dy", digits=5), *r("max_m", digits=4), "problem")
+
+
 ROOM = """room AS (SELECT o_custkey AS capture, frame AS wall_id, tx AS x1, tz AS y1, tx + 3 * qw + ty / 10 AS x2, tz + 3 * qy AS y2 FROM pose JOIN orders ON o_orderkey = frame)"""
 
 
@@ -649,9 +682,19 @@ def wall_match_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("capture", "wall_id_a", "wall_id_b", *r("score", digits=5))
 
 
-@query()
+@query("""+ w AS (SELECT *, atan2(y2 - y1, x2 - x1) AS ang, (x1 + x2) / 2 AS mx, (y1 + y2) / 2 AS my, sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) AS len FROM room),
+    v AS (SELECT *, atan2(y2 - y1, x2 - x1) AS ang, (x1 + x2) / 2 AS mx, (y1 + y2) / 2 AS my, sqrt(pow(x2 - x1, 2) + pow(y2 - y1, 2)) AS len FROM (SELECT capture, wall_id, x1 + 0.2 AS x1, x2 + 0.3 AS x2, y1 - 0.1 AS y1, y2 - 0.1 AS y2 FROM room)),
+    t AS (SELECT w.capture, w.wall_id AS wall_id_a, v.wall_id AS wall_id_b, abs(w.ang - v.ang) - pi() * floor(abs(w.ang - v.ang) / pi()) AS t, sqrt(pow(w.mx - v.mx, 2) + pow(w.my - v.my, 2)) AS gap_m, abs(w.len - v.len) / greatest(w.len, v.len) AS length_error FROM w JOIN v USING (capture)),
+    u AS (SELECT *, degrees(least(t, pi() - t)) AS angle_deg FROM t),
+    cd AS (SELECT *, row_number() OVER (PARTITION BY capture ORDER BY (angle_deg / 15 + gap_m + length_error / 0.35) / 3, wall_id_a, wall_id_b) AS rn FROM u WHERE angle_deg <= 15 AND gap_m <= 1 AND length_error <= 0.35),
+    gr AS (SELECT capture, CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS ua, CAST([] AS BIGINT[]) AS ub, false AS taken, CAST(NULL AS BIGINT) AS wall_id_a, CAST(NULL AS BIGINT) AS wall_id_b FROM (SELECT DISTINCT capture FROM cd)
+        UNION ALL SELECT g.capture, c.rn, CASE WHEN list_contains(ua, c.wall_id_a) OR list_contains(ub, c.wall_id_b) THEN ua ELSE list_append(ua, c.wall_id_a) END,
+            CASE WHEN list_contains(ua, c.wall_id_a) OR list_contains(ub, c.wall_id_b) THEN ub ELSE list_append(ub, c.wall_id_b) END,
+            NOT (list_contains(ua, c.wall_id_a) OR list_contains(ub, c.wall_id_b)), c.wall_id_a, c.wall_id_b FROM gr g JOIN cd c ON c.capture = g.capture AND c.rn = g.rn + 1)
+    SELECT capture, wall_id_a, wall_id_b FROM gr WHERE taken""", lens.POSE, ROOM)
 def wall_match_greedy(spark: SparkSession, sf: str) -> DataFrame:
-    return register.greedy_matches(register.match_candidates(_room(spark, sf), _moved_room(spark, sf), ["capture"]), ["capture"])
+    found = register.greedy_matches(register.match_candidates(_room(spark, sf), _moved_room(spark, sf), ["capture"]), ["capture"])
+    return found.select("capture", "wall_id_a", "wall_id_b")
 
 
 @query("""+ a AS (SELECT capture, atan2(y2 - y1, x2 - x1) - pi() * floor(atan2(y2 - y1, x2 - x1) / pi()) AS a FROM room)
@@ -692,8 +735,8 @@ def media_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""WITH m AS (SELECT event_id, CAST(event_id * 37 % 1000 AS INTEGER) AS width, CAST(event_id * 91 % 900 AS INTEGER) AS height, "value" / 200 AS mean_luminance, event_id % 100 / CAST(100 AS DOUBLE) AS dark, event_id % 83 / CAST(83 AS DOUBLE) AS bright, event_id % 11 / CAST(10000 AS DOUBLE) AS sharp FROM events),
-    q AS (SELECT event_id, list_filter([CASE WHEN width < 640 OR height < 480 THEN 'resolution is below 640x480' END, CASE WHEN mean_luminance < 0.08 THEN 'mean exposure is too dark' WHEN mean_luminance > 0.92 THEN 'mean exposure is too bright' END,
-        CASE WHEN dark > 0.65 THEN 'too many clipped dark pixels' END, CASE WHEN bright > 0.65 THEN 'too many clipped bright pixels' END, CASE WHEN sharp < 0.0004 THEN 'too little fine detail' END], lambda x: x IS NOT NULL) AS r FROM m)
+    q AS (SELECT event_id, list_filter([CASE WHEN width < 640 OR height < 480 THEN 'fewer pixels than 640 by 480' END, CASE WHEN mean_luminance < 0.08 THEN 'underexposed on average' WHEN mean_luminance > 0.92 THEN 'overexposed on average' END,
+        CASE WHEN dark > 0.65 THEN 'black in most places' END, CASE WHEN bright > 0.65 THEN 'white in most places' END, CASE WHEN sharp < 0.0004 THEN 'too little fine detail' END], lambda x: x IS NOT NULL) AS r FROM m)
     SELECT event_id, array_to_string(r, '; ') AS reasons, len(r) = 0 AS accepted FROM q""")
 def media_quality_reasons(spark: SparkSession, sf: str) -> DataFrame:
     e = F.col("event_id")
@@ -751,6 +794,34 @@ def evaluate_status_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.statuses(_evaluated(spark, sf)[0], ["tier", "metric"])
 
 
+@query("""SELECT tier, count(*) AS n_measurements, CASE WHEN count(*) FILTER (status = 'failed') > 0 THEN 'failed' WHEN count(*) FILTER (status = 'missing_prediction') > 0 THEN 'missing_prediction' WHEN count(*) FILTER (status = 'not_evaluated') > 0 THEN 'not_evaluated' ELSE 'passed' END AS status FROM evaluated WHERE metric = 'wall_length' GROUP BY tier""", lens.TRUTH_PRED)
+def evaluate_tier_walls(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.summary_status(_evaluated(spark, sf)[0].where("metric = 'wall_length'"), ["tier"])
+
+
+def _captures(spark: SparkSession, sf: str) -> DataFrame:
+    return _evaluated(spark, sf)[0].select("capture_name", "room_id", "tier").distinct()
+
+
+@query("""+ c AS (SELECT DISTINCT capture_name, room_id, tier FROM evaluated), rt AS (SELECT room_id, count(DISTINCT CASE WHEN tier IN ('photo', 'video', 'lidar') THEN tier END) AS n FROM c GROUP BY 1)
+    SELECT count(*) AS n_rooms, CASE WHEN count(*) > 0 AND min(n) = 3 THEN 'declared' ELSE 'not_met' END AS status FROM rt""", lens.TRUTH_PRED)
+def evaluate_rooms_all_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    c = _captures(spark, sf)
+    return evaluate.rooms_all_tiers(c, c.select("room_id"))
+
+
+@query("""+ c AS (SELECT DISTINCT capture_name, room_id, tier FROM evaluated), pc AS (SELECT DISTINCT capture_name FROM evaluated WHERE predicted IS NOT NULL AND length(capture_name) % 2 = 0)
+    SELECT 'too_few_rooms' AS code, CAST(count(DISTINCT room_id) AS VARCHAR) AS subject FROM c HAVING count(DISTINCT room_id) < 3
+    UNION ALL SELECT 'tier_missing', t FROM (VALUES ('photo'), ('video'), ('lidar')) v(t) WHERE NOT EXISTS (SELECT 1 FROM c WHERE tier = t)
+    UNION ALL SELECT 'no_repeated_capture', NULL
+    UNION ALL SELECT 'room_lacks_tiers', room_id FROM c GROUP BY room_id HAVING count(DISTINCT tier) < 3
+    UNION ALL SELECT 'truth_without_result', capture_name FROM (SELECT DISTINCT capture_name FROM c) WHERE capture_name NOT IN (SELECT capture_name FROM pc)""", lens.TRUTH_PRED)
+def evaluate_protocol(spark: SparkSession, sf: str) -> DataFrame:
+    c = _captures(spark, sf).withColumn("repeatability_group", F.lit(None).cast("string"))
+    done = _evaluated(spark, sf)[0].where("predicted is not null and length(capture_name) % 2 = 0").select("capture_name")
+    return evaluate.protocol_warnings(c, c.select("room_id"), done)
+
+
 REPEAT = """g AS (SELECT DISTINCT capture_name, p_brand AS repeatability_group FROM tp JOIN per USING (p_partkey)), sz AS (SELECT repeatability_group, count(*) AS n_captures FROM g GROUP BY 1),
     rp AS (SELECT repeatability_group, metric, 'W' || CAST(CAST(substr(target_id, 2) AS BIGINT) // 3 AS VARCHAR) AS target_id, truth, predicted, status, n_captures FROM evaluated JOIN g USING (capture_name) JOIN sz USING (repeatability_group) WHERE metric = 'wall_length' AND truth IS NOT NULL AND n_captures >= 2),
     ra AS (SELECT repeatability_group, metric, target_id, max(n_captures) AS n_captures, count(predicted) AS n_predicted, max(truth) AS truth, max(predicted) - min(predicted) AS spread, CASE WHEN count(*) < max(n_captures) THEN 'not_evaluated' WHEN count(*) FILTER (status = 'missing_prediction') > 0 THEN 'missing_prediction' WHEN count(*) FILTER (status = 'failed') > 0 THEN 'failed'

@@ -8,12 +8,17 @@ source, so any store that Spark reads will do.
 from __future__ import annotations
 
 import io
-import math
+import lzma
+import re
+import stat
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,23 +41,50 @@ def unsafe(member: Column) -> Column:
     return m.startswith("/") | m.rlike(r"^[A-Za-z]:") | F.exists(F.split(m, "/"), lambda p: p.isin("", ".", ".."))
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """All files below path; its letters are taken as they are, not as a pattern."""
+    literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(literal)
+
+
 def read_folders(spark: SparkSession, path: str) -> DataFrame:
-    """Members of each folder below path (capture_id: the folder's name)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    """Members of each folder below path (capture_id: the folder's name).
+
+    A path that itself holds the poses or the camera matrix is one capture, called by its own name.
+    """
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath().rstrip("/")
-    inner = F.element_at(F.split("path", root.replace(".", r"\.") + "/"), -1)
-    return files.select(
+    begin = F.instr("path", root + "/")
+    files = _files(spark, path).where(begin > 0).withColumn("inner", F.col("path").substr(begin + F.lit(len(root) + 1), F.length("path")))
+    own = not files.where(F.col("inner").isin(POSES, CAMERA)).select("inner").isEmpty()
+    inner = F.concat(F.lit(root.rpartition("/")[2] + "/"), "inner") if own else F.col("inner")
+    return files.where(inner.contains("/") & ~F.lower("inner").endswith(".zip")).select(
         F.substring_index(inner, "/", 1).alias("capture_id"), inner.alias("member"),
         F.col("length").alias("size"), "content", F.lit(None).cast("string").alias("problem"),
-    ).where(inner.contains("/") & ~inner.endswith(".zip"))
+    )
+
+
+def name_collisions(spark: SparkSession, path: str) -> DataFrame:
+    """capture_id, sources: names that several folders or archives below path would share (case ignored).
+
+    Reads names only. Results are kept by name, so such captures would be taken for one.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath().rstrip("/")
+    files = _files(spark, path).select("path", F.instr("path", root + "/").alias("at"))
+    inner = F.when(F.col("at") > 0, F.col("path").substr(F.col("at") + F.lit(len(root) + 1), F.length("path"))).otherwise(F.substring_index("path", "/", -1))
+    source = F.when(F.lower("path").endswith(".zip"), F.col("path")).when(inner.contains("/"), F.substring_index(inner, "/", 1))
+    name = F.regexp_replace(F.substring_index(source, "/", -1), "(?i)\\.zip$", "")
+    named = files.select(name.alias("capture_id"), source.alias("source")).where("source is not null").distinct()
+    return named.groupBy(F.lower("capture_id").alias("key")).agg(F.min("capture_id").alias("capture_id"), F.array_sort(F.collect_set("source")).alias("sources")).where(
+        F.size("sources") > 1
+    ).select("capture_id", "sources")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Members of each ZIP archive in path (capture_id: the file's name without .zip).
 
-    A damaged archive gives one row with the problem, so that it fails alone.
+    A damaged archive gives a row with the problem, so that it fails alone, and so does a symbolic link.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path)
+    files = _files(spark, path).where(F.lower("path").endswith(".zip"))
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -61,9 +93,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as z:
                         for i in z.infolist():
-                            if not i.is_dir():
+                            if stat.S_ISLNK(i.external_attr >> 16):
+                                yield pd.DataFrame([(capture, i.filename, 0, None, f"symbolic link: {i.filename}")], columns=["capture_id", "member", "size", "content", "problem"])
+                            elif not i.is_dir():
                                 yield pd.DataFrame([(capture, i.filename, i.file_size, z.read(i), None)], columns=["capture_id", "member", "size", "content", "problem"])
-                except (zipfile.BadZipFile, RuntimeError, OSError) as e:
+                except (zipfile.BadZipFile, zlib.error, lzma.LZMAError, struct.error, RuntimeError, OSError, EOFError, ValueError) as e:
                     yield pd.DataFrame([(capture, None, 0, None, f"{type(e).__name__}: {e}")], columns=["capture_id", "member", "size", "content", "problem"])
 
     return files.select("path", "content").mapInPandas(unpack, MEMBERS)
@@ -177,31 +211,42 @@ def frame_files(members: DataFrame, root: DataFrame, folder: str) -> DataFrame:
 
 
 def pixels(members: DataFrame, depth: DataFrame, confidence: DataFrame, wanted: DataFrame, stride: int = 1) -> DataFrame:
-    """Pixel rows of the wanted frames: capture_id, frame_id, u, v, depth_mm, confidence, width, height.
+    """Pixel rows of the wanted frames: capture_id, frame_id, u, v, depth_mm, confidence, width, height, problem.
 
-    Only the wanted frames' contents are decoded, and the stride is applied before pixels are rows.
+    Only the wanted frames' contents are decoded, and the stride is applied before pixels are rows. A
+    frame that can't be decoded, or whose two images differ in size, is one row with the problem
+    alone; it touches no other frame. The names are picked first; contents meet them in one join.
     """
-    def one(side: DataFrame, name: str) -> DataFrame:
+    def named(side: DataFrame, kind: str) -> DataFrame:
         picked = side.where("code is null").join(wanted.select("capture_id", "frame_id"), ["capture_id", "frame_id"])
-        files = members.select("capture_id", normalised(F.col("member")).alias("member"), F.col("content").alias(name))
-        return picked.select("capture_id", "frame_id", "member").join(files, ["capture_id", "member"]).select("capture_id", "frame_id", name)
+        return picked.select("capture_id", "frame_id", "member", F.lit(kind).alias("kind"))
 
-    pairs = one(depth, "depth").join(one(confidence, "conf"), ["capture_id", "frame_id"])
+    names = named(depth, "depth").unionByName(named(confidence, "conf"))
+    files = members.where("problem is null").select("capture_id", normalised(F.col("member")).alias("member"), "content")
+    held = names.join(files, ["capture_id", "member"])
+    pairs = held.groupBy("capture_id", "frame_id").agg(*[F.max(F.when(F.col("kind") == k, F.col("content"))).alias(k) for k in ("depth", "conf")]).where(
+        "depth is not null and conf is not null"
+    )
+    columns = ["capture_id", "frame_id", "u", "v", "depth_mm", "confidence", "width", "height", "problem"]
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for capture, frame, d, c in f.itertuples(index=False):
-                z, k = png.decode(bytes(d)), png.decode(bytes(c))
-                if z.shape != k.shape:
-                    raise ValueError(f"{capture} {frame}: depth and confidence differ in size")
+                try:
+                    z, k = png.decode(bytes(d)), png.decode(bytes(c))
+                    if z.ndim != 2 or z.shape != k.shape:
+                        raise ValueError(f"depth {z.shape} and confidence {k.shape} differ in size")
+                except (ValueError, zlib.error, struct.error, IndexError) as e:
+                    yield pd.DataFrame([(capture, frame, *[None] * 6, f"{type(e).__name__}: {e}")], columns=columns).astype({c: "Int32" for c in columns[2:8]})
+                    continue
                 v, u = np.mgrid[0 : z.shape[0] : stride, 0 : z.shape[1] : stride]
                 yield pd.DataFrame({
                     "capture_id": capture, "frame_id": frame, "u": u.ravel().astype(np.int32), "v": v.ravel().astype(np.int32),
                     "depth_mm": z[::stride, ::stride].ravel().astype(np.int32), "confidence": k[::stride, ::stride].ravel().astype(np.int32),
-                    "width": np.int32(z.shape[1]), "height": np.int32(z.shape[0]),
+                    "width": np.int32(z.shape[1]), "height": np.int32(z.shape[0]), "problem": None,
                 })
 
-    return pairs.mapInPandas(unpack, "capture_id string, frame_id string, u int, v int, depth_mm int, confidence int, width int, height int")
+    return pairs.mapInPandas(unpack, "capture_id string, frame_id string, u int, v int, depth_mm int, confidence int, width int, height int, problem string")
 
 
 def inspect(members: DataFrame) -> DataFrame:
@@ -214,7 +259,7 @@ def inspect(members: DataFrame) -> DataFrame:
                     image = png.decode(bytes(content))
                     mode = {(2, 2): "I;16", (2, 1): "L", (3, 1): "RGB"}[image.ndim, image.dtype.itemsize]
                     out.append((capture, member, image.shape[1], image.shape[0], mode, int(image.min()), int(image.max()), None))
-                except ValueError as e:
+                except (ValueError, KeyError, zlib.error, struct.error, IndexError) as e:
                     out.append((capture, member, None, None, None, None, None, str(e)))
             yield pd.DataFrame(out, columns=["capture_id", "member", "width", "height", "mode", "low", "high", "problem"]).astype({c: "Int64" for c in ("width", "height", "low", "high")})
 
@@ -224,17 +269,29 @@ def inspect(members: DataFrame) -> DataFrame:
 
 
 def capture_hashes(members: DataFrame) -> DataFrame:
-    """Per capture: the SHA-256 of its members, framed: name length, name, size, bytes, by name."""
-    import hashlib
+    """Per capture: the SHA-256 of its members, framed: name length, name, size, bytes, by name.
 
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        h = hashlib.sha256()
-        for member, content in frame.sort_values("member")[["member", "content"]].itertuples(index=False):
-            name, body = member.encode(), bytes(content)
-            h.update(len(name).to_bytes(8, "big") + name + len(body).to_bytes(8, "big") + body)
-        return pd.DataFrame([(frame["capture_id"].iloc[0], h.hexdigest())], columns=["capture_id", "sha256"])
+    The members come sorted in batches and are hashed as they pass; no capture is held in memory.
+    """
+    import hashlib
 
-    return members.where("content is not null").select("capture_id", "member", "content").groupBy("capture_id").applyInPandas(one, "capture_id string, sha256 string")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, last, h = [], None, None
+        for b in batches:
+            for i in range(b.num_rows):
+                capture, name, body = b.column(0)[i].as_py(), b.column(1)[i].as_py().encode(), b.column(2)[i].as_buffer()
+                if capture != last:
+                    if h is not None:
+                        done.append((last, h.hexdigest()))
+                    last, h = capture, hashlib.sha256()
+                h.update(len(name).to_bytes(8, "big") + name + body.size.to_bytes(8, "big"))
+                h.update(body)
+        if h is not None:
+            done.append((last, h.hexdigest()))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in done], pa.string()), pa.array([x for _, x in done], pa.string())], ["capture_id", "sha256"])
+
+    whole = members.where("content is not null").select("capture_id", "member", "content")
+    return whole.repartition("capture_id").sortWithinPartitions("capture_id", "member").mapInArrow(work, "capture_id string, sha256 string")
 
 
 def output_names(names: DataFrame, name: str = "name") -> DataFrame:

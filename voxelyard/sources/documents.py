@@ -42,6 +42,21 @@ def truth_rows(doc: DataFrame) -> tuple[DataFrame, DataFrame]:
     return truth.select("capture_name", "tier", "room_id", "metric", "target_id", "value"), captures.select("capture_name", "repeatability_group")
 
 
+def captures_of(doc: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(captures, rooms) of a ground-truth document, as operators.evaluate's guards take them."""
+    captures = doc.select(F.explode("captures").alias("c")).select("c.capture_name", "c.room_id", "c.tier", "c.repeatability_group", "c.expected_input_sha256")
+    return captures, doc.select(F.explode("rooms").alias("r")).select("r.room_id")
+
+
+def anchor_rows(doc: DataFrame) -> DataFrame:
+    """pair, sx, sy, tx, ty of an anchors document; lists of unequal length or of fewer than two points are errors."""
+    bad = (F.size("source") != F.size("target")) | (F.size("source") < 2)
+    checked = doc.select("*", F.when(F.coalesce(bad, F.lit(True)), F.raise_error(F.lit("anchors need two lists of the same two or more points"))).alias("bad")).where("bad is null")
+    both = checked.select(F.explode(F.arrays_zip("source", "target")).alias("p"))
+    at = lambda side, i: F.get(F.col(f"p.{side}"), F.lit(i))
+    return both.select(F.lit("pair").alias("pair"), at("source", 0).alias("sx"), at("source", 1).alias("sy"), at("target", 0).alias("tx"), at("target", 1).alias("ty"))
+
+
 def prediction_rows(results: dict[str, DataFrame]) -> DataFrame:
     """capture_name, metric, target_id, value of the tables that operators.runs.results gives."""
     name = F.col("capture_id").alias("capture_name")
@@ -55,7 +70,7 @@ def prediction_rows(results: dict[str, DataFrame]) -> DataFrame:
 
 
 def observations(doc: DataFrame) -> DataFrame:
-    """track, view_id, u, v and the view's projection p00 .. p23 (camera matrix x camera-from-world).
+    """track, view_id, gate_px (of its document; 3 where it has none), u, v and the view's projection p00 .. p23 (camera matrix x camera-from-world).
 
     The camera pose is rigid, so its inverse is the transposed rotation and the turned-back
     translation. A unit other than metre and fewer than two views are errors.
@@ -63,11 +78,12 @@ def observations(doc: DataFrame) -> DataFrame:
     bad = F.when(F.col("translation_unit") != "metre", F.raise_error(F.lit("the translation unit must be metre"))).when(
         F.size("views") < 2, F.raise_error(F.lit("at least two views are required"))
     )
-    v = doc.select("camera_matrix", F.explode("views").alias("v"), bad.alias("bad")).where("bad is null")
-    rows = v.select("camera_matrix", "v.view_id", F.col("v.world_from_camera").alias("w"), F.explode("v.observations").alias("track", "uv"))
+    gate = F.coalesce("maximum_reprojection_error_px", F.lit(3.0)).alias("gate_px")
+    v = doc.select("camera_matrix", gate, F.explode("views").alias("v"), bad.alias("bad")).where("bad is null")
+    rows = v.select("camera_matrix", "gate_px", "v.view_id", F.col("v.world_from_camera").alias("w"), F.explode("v.observations").alias("track", "uv"))
     r = lambda i, j: F.get(F.get("w", F.lit(j)), F.lit(i))  # noqa: E731  transposed
     t = [-(r(i, 0) * F.get(F.get("w", F.lit(0)), F.lit(3)) + r(i, 1) * F.get(F.get("w", F.lit(1)), F.lit(3)) + r(i, 2) * F.get(F.get("w", F.lit(2)), F.lit(3))) for i in range(3)]
     k = lambda i, j: F.get(F.get("camera_matrix", F.lit(i)), F.lit(j))
     ext = [[r(i, 0), r(i, 1), r(i, 2), t[i]] for i in range(3)]
     p = {f"p{i}{j}": k(i, 0) * ext[0][j] + k(i, 1) * ext[1][j] + k(i, 2) * ext[2][j] for i in range(3) for j in range(4)}
-    return rows.select(F.col("track").alias("track"), "view_id", F.get("uv", F.lit(0)).alias("u"), F.get("uv", F.lit(1)).alias("v"), *[c.alias(n) for n, c in p.items()])
+    return rows.select(F.col("track").alias("track"), "view_id", "gate_px", F.get("uv", F.lit(0)).alias("u"), F.get("uv", F.lit(1)).alias("v"), *[c.alias(n) for n, c in p.items()])
