@@ -67,12 +67,18 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return vote(hashes) if len(hashes) else 0
 
 
+def _bit_counts(rows: np.ndarray) -> np.ndarray:
+    """How many rows of bytes have each bit set. Bits are counted in byte lanes, eight to a machine word."""
+    counts = np.zeros(8 * rows.shape[1], np.int64)
+    for at in range(0, len(rows), 255):
+        bits = np.unpackbits(rows[at : at + 255], axis=1)
+        counts += np.add.reduce(bits.view(np.uint64), axis=0).view(np.uint8)
+    return counts
+
+
 def vote(hashes: np.ndarray) -> int:
     """Bits that are set in over half the hashes."""
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65536):
-        bits = np.unpackbits(hashes[at : at + 65536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        counts += bits.sum(0, dtype=np.uint32)
+    counts = _bit_counts(hashes.astype(">u8").view(np.uint8).reshape(-1, 8))
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
@@ -306,13 +312,16 @@ _MIX = ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53))
 
 def wide_print(hashes: np.ndarray, words: int = 8) -> np.ndarray:
     """The SimHash of distinct hashes in 64 x words bits: each word votes with hashes mixed anew."""
-    out = np.zeros(words, np.uint64)
-    for w in range(words if len(hashes) else 0):
-        h = hashes + np.uint64(0x9E3779B97F4A7C15 * (w + 1) & _ALL)
+    if not len(hashes):
+        return np.zeros(words, np.uint64)
+    salts = np.array([0x9E3779B97F4A7C15 * (w + 1) & _ALL for w in range(words)], np.uint64)
+    counts = np.zeros(64 * words, np.int64)
+    for at in range(0, len(hashes), 4080):
+        h = hashes[at : at + 4080, None] + salts
         for shift, factor in _MIX:
             h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
-        out[w] = vote(h ^ (h >> np.uint64(33)))
-    return out
+        counts += _bit_counts((h ^ (h >> np.uint64(33))).view(np.uint8))
+    return np.packbits(counts * 2 > len(hashes)).view(np.uint64)
 
 
 def _verified(
