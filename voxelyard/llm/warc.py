@@ -79,7 +79,7 @@ def write(
         F.lit("\r\nX-Page-Id: "), page,
         F.when(
             F.col("record_type") == "revisit",
-            F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nX-Refers-To-Page-Id: "), F.col("first_id").cast("string")),
+            F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nX-Refers-To-Page-Id: "), F.coalesce(F.col("first_id").cast("string"), F.lit("null"))),
         ).otherwise(""),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), block, F.lit(END),
     )
@@ -98,14 +98,14 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
         got = F.regexp_extract(head, rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
         return F.when(got != "", got)
 
-    page = field("X-Page-Id")
+    page, refers = field("X-Page-Id"), field("X-Refers-To-Page-Id")
     return raw.select(
         "*",
         F.when(page != "null", page.cast("long")).alias("page_id"),
         field("WARC-Type").alias("record_type"),
         field("WARC-Target-URI").alias("url"),
         F.regexp_replace(field("WARC-Payload-Digest"), "^sha256:", "").alias("declared_digest"),
-        field("X-Refers-To-Page-Id").cast("long").alias("refers_to"),
+        F.when(refers != "null", refers.cast("long")).alias("refers_to"),
         field("Content-Length").cast("long").alias("content_length"),
     )
 
