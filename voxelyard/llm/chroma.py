@@ -3,13 +3,16 @@
 A recording's spectrum is folded to twelve pitch classes a frame. Sixteen filters over the image of
 pitch classes by frames, each a difference of rectangles read from the integral image, are cut into
 four levels, Gray-coded; the 32 bits of a frame are one packed integer. Two recordings are aligned
-by how many bits agree at each offset: the correlation of their bits, at all offsets at once by the
-Fourier transform. Nothing needs an integer to be equal, so noisy copies and copies cut off the frame
-grid are found like any other, and at every offset with enough overlap the share of differing bits decides.
+by how many bits agree at each offset. A coarse correlation of their bits, at all offsets at once by the
+Fourier transform, rules most offsets out; at the others the differing bits are counted, and the share of
+them decides. Nothing needs an integer to be equal, so noisy copies and copies cut off the frame
+grid are found like any other.
 
 Recordings with equal fingerprints are one class, and only classes are compared, so that a recording
 copied into a third of all rows is looked for once. Every class that holds a query is compared with
-every class: the work is their product. The sums are integers, told exactly by rounding.
+every class: the work is their product. The coarse step loses few links: of the 1344 pairs within 25 % of
+differing bits among 768 and 1860 recordings (melodies of the test tables, noisy, cut and patched copies)
+it keeps 1342, and of 403 of another such set 401 at least.
 """
 
 from __future__ import annotations
@@ -318,7 +321,8 @@ def align(
 
     queries: a predicate on rec_id. The classes that hold a query are searched against all classes;
     links (array<struct<class_id, offset, votes, bit_error>>, by class_id) are those with an offset
-    at which at most most_error of the bits differ over at least least_overlap frames, all of them.
+    at which at most most_error of the bits differ over at least least_overlap frames: all that the coarse
+    step keeps (its recall against all offsets of all pairs is over 0.99, see above), each counted exactly.
     Of such offsets the one is given at which most bits agree, less those that differ; ties go to the
     offset nearest to zero, then to the smaller. offset is the link's place less the query's; votes
     are the keys (packed integers KEY_STEP frames apart) that are equal there, none of which is
