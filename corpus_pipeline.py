@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voxelyard.llm import bpe, langid, mixing, quality, simhash
-from voxelyard.llm.common import read, stage
+from voxelyard.llm.common import drop, read, stage
 
 #: A document goes if the classifier gives it less: operator 10's own threshold. Of 990 held-out labels of the
 #: 0.1 tables it takes 135 of 136 documents of label 0 and none of 854 of label 1 (none lies between 0.4 and 0.7).
@@ -72,7 +72,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            drop(spark, before)  # the next stage's table is whole
+        before = docs
     return docs

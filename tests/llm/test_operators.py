@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -83,6 +84,19 @@ def test_nearest_is_exact_with_ties_and_bad_vectors(spark):
         assert np.allclose([s for _, s in m], [s for _, s in want[q]], atol=1e-9)
 
 
+def test_nearest_of_extreme_doubles_and_repeated_queries(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1.0, 1.0]), (2, [1e-200, 1e-200]), (3, [1.0, 0.0]), (4, [1e300, -1e300]), (5, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in ann.nearest(df, df).collect()}
+    assert len(got) == 30 and all(np.isfinite(x) for x in got.values())
+    half = 2**-0.5
+    for q, v, s in ((0, 1, 1), (0, 2, 1), (1, 2, 1), (0, 3, half), (0, 4, 0), (4, 3, half), (5, 3, 1), (5, 0, half)):
+        assert abs(got[q, v] - s) < 1e-12 and abs(got[v, q] - s) < 1e-12
+    twice = spark.createDataFrame(rows[:4] + [(1, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    one = [sorted(tuple(r) for r in ann.nearest(twice.repartition(n), twice.where("vec_id = 1").repartition(n)).collect()) for n in (1, 3, 5)]
+    assert one[0] == one[1] == one[2] and one[0][0][3] == pytest.approx(half)
+
+
 def test_nearest_in_rounds_and_on_nothing(spark):
     rng = np.random.default_rng(1)
     df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)]) for i in range(200)], "vec_id long, embedding array<double>")
@@ -129,6 +143,14 @@ def test_license_notices_add_labels_and_keep_base_ones(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_words_that_repeat_make_no_notice(spark):
+    texts = ["2 0 " * 5, "version 3 " * 7, "v 2 " * 12, "MİT License mit license", "\u212aIT license"]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, [(i, t, None, None) for i, t in enumerate(texts)])).collect()}
+    assert all(got[i].labels == "" and got[i].score == 0 for i in range(3))
+    for i, t in enumerate(texts):
+        assert (got[i].n_words, got[i].n_base, got[i].first_word, got[i].last_word, got[i].base_labels) == plain_scan(t)
+
+
 # ---- 3
 
 
@@ -275,7 +297,25 @@ def test_archive_round_trip(spark):
     assert spark.read.parquet(f"{path}/payloads").count() == 4
     records = {r.page_id: bytes(r.record) for r in warc.read_records(spark, path).collect()}
     assert records[1].startswith(b"WARC/1.1\r\nWARC-Type: response") and records[1].endswith(big.encode() + b"\r\n\r\n") and b"x" * 50 not in records[3]
-    warc.export_files(spark, path, scratch(spark, "files"))
+    to = scratch(spark, "files")
+    warc.export_files(spark, path, to, records_a_file=3)
+    files = sorted(Path(to.removeprefix("file:")).glob("part-*"))
+    whole = b"".join(f.read_bytes() for f in files)
+    assert len(files) > 1 and len(whole) == sum(map(len, records.values())) and all(r in whole for r in records.values())
+
+
+def test_repeated_rows_have_one_response_and_ids_of_their_own(spark):
+    big = "z" * 300
+    rows = [(8, "u8", big)] * 4 + [(9, "u9", big), (8, "a8", big)] + [(3, "u", "small")] * 2 + [(None, "n", "q" * 200)] * 2
+    path = scratch(spark, "warc")
+    got = warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), path).collect()
+    assert len(got) == len(rows)
+    assert sorted((r.page_id, r.record_type) for r in got if r.payload_bytes == 300) == [(8, "response")] + [(8, "revisit")] * 4 + [(9, "revisit")]
+    assert all(r.refers_to == 8 for r in got if r.payload_bytes == 300 and r.record_type == "revisit")
+    assert [r.record_type for r in got if r.page_id == 3] == ["response"] * 2
+    assert sorted(r.record_type for r in got if r.page_id is None) == ["response", "revisit"]
+    ids = [re.search(rb"WARC-Record-ID: (\S+)", bytes(r.warc_header)).group(1) for r in warc.read_headers(spark, path).collect()]
+    assert len(set(ids)) == len(rows)
 
 
 def test_archive_detects_damage_and_takes_nothing(spark):
@@ -411,6 +451,11 @@ def test_language_held_out_accuracy_and_edges(spark, docs, odd, empty):
     rows = {r.doc_id: r for r in langid.identify(odd, model).collect()}
     assert all(rows[i].lang_pred == "und" and rows[i].score == 0 for i in (1, 2, 3)) and rows[8].lang_pred in model.langs and not rows[None].held_out
     assert langid.identify(empty, model).count() == 0
+    more = frame(spark, [(1, "①② ½", None, None), (2, "Ⅷ", None, None), (3, "123 ٣٤", None, None), (4, "क्या है यह", None, None), (5, "xkcd qqzzv wrtpl zzkqx", None, None)])
+    rows = {r.doc_id: r for r in langid.identify(more, model).collect()}
+    assert all((rows[i].lang_pred, rows[i].score) == ("und", 0) for i in (1, 2, 3))
+    assert rows[4].lang_pred in model.langs and rows[4].score == 0 and rows[5].score <= 0.5
+    assert langid.words_of("क्या है") == ["क्या", "है"] and langid.words_of("a1b ªº é² ñ") == ["a", "b", "ªº", "é", "ñ"]
     nothing = langid.fit(empty)
     assert {r.lang_pred for r in langid.identify(odd, nothing).collect()} == {"und"} and langid.keep(odd, nothing, 0.5).count() == len(ODD)
     en, de = (next(r.text for r in docs.collect() if r.lang == x and len(r.text) > 1500) for x in ("en", "de"))

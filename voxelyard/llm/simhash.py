@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxelyard.llm.common import SPACE_WORD, pieces, stage
+from voxelyard.llm.common import SPACE_WORD, drop, pieces, stage
 from voxelyard.llm.components import components
 from voxelyard.llm.streams import groups
 
@@ -403,7 +403,8 @@ def similar(
         ),
         "nodes",
     )
-    dealt = _dealt(nodes, 2 * shard_rows).join(nodes.select(F.col("node").alias("fp"), "sig"), "fp").select(
+    deals_of, staged = _dealt(nodes, 2 * shard_rows)
+    dealt = deals_of.join(nodes.select(F.col("node").alias("fp"), "sig"), "fp").select(
         "fp", "part", "bits", *[F.col("sig")[i].alias(f"w{i}") for i in range(words)]
     )
 
@@ -413,6 +414,8 @@ def similar(
         return _wide_forest(g["fp"], sigs, queries, WIDE_RADIUS)
 
     near = components(_in_shards(dealt, search, shard_rows)).withColumnRenamed("root", "bits")
+    for done in staged:
+        drop(docs.sparkSession, done)
     asked = nodes.join(near, "node").select("node", "bits", F.col("text_hash").alias("asked_hash"))
     whole = asked.join(texts, F.col("asked_hash") == F.col("text_hash")).dropDuplicates(["node"]).select("node", "bits", "text")
 
@@ -434,11 +437,13 @@ def similar(
     )
     best = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_node = stage(labelled.join(best, "root").select("node", "root", "component_id"), "groups")
+    for done in (met, nodes):
+        drop(docs.sparkSession, done)
     return prints.join(of_node, "node").select("doc_id", "text_hash", "node", "root", "component_id")
 
 
-def _dealt(nodes: DataFrame, most: int) -> DataFrame:
-    """fp, part, bits: the shards of each node, by its smallest hashes.
+def _dealt(nodes: DataFrame, most: int) -> tuple[DataFrame, list[DataFrame]]:
+    """fp, part, bits: the shards of each node, by its smallest hashes; and the tables that it reads.
 
     A hash that more than `most` nodes have among theirs (a passage that many texts share) is no key by
     itself: its nodes are dealt by the pairs of it and each of their other hashes, and a pair that is
@@ -449,12 +454,13 @@ def _dealt(nodes: DataFrame, most: int) -> DataFrame:
     now = nodes.select(F.col("node").alias("fp"), F.col("least"), F.explode("least").alias("h")).select(
         "fp", "least", F.array("h").alias("have"), F.col("h").alias("bits")
     )
-    out = None
+    out, staged = None, []
     for part in range(3):
         if part == 2:
             cold = now
         else:
             now = stage(now, f"deal{part}")
+            staged.append(now)
             hot = now.groupBy("bits").agg(F.count("*").alias("n")).where(F.col("n") > most).select("bits")
             cold = now.join(hot, "bits", "left_anti")
             more = now.join(hot, "bits").select("fp", "least", F.explode(F.array_except("least", "have")).alias("h"), "have")
@@ -464,7 +470,7 @@ def _dealt(nodes: DataFrame, most: int) -> DataFrame:
             )
         found = cold.select("fp", F.lit(part).alias("part"), "bits")
         out = found if out is None else out.unionByName(found)
-    return out
+    return out, staged
 
 
 def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
