@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tests import scenes
 from voxelyard import cli
 from voxelyard.config import Intervals, Reconstruction, Structure
-from voxelyard.operators import capabilities, grid, intervals, openings, runs, validate
+from voxelyard.operators import capabilities, evaluate, grid, intervals, openings, project, register, runs, validate
 from voxelyard.sources import capture as cap
-from voxelyard.sources import png
+from voxelyard.sources import documents, png
+from voxelyard.streaming.voxels import fuse_into, read_fused
 
 TINY = Reconstruction(10, 1, 0.08, 5, intrinsics_width=4, intrinsics_height=3)
 
@@ -168,3 +169,56 @@ def test_components_end_when_nothing_changes(spark):
     got = grid.components(cells, ["capture_id"]).select("comp_x", "comp_y", "comp_size").distinct().collect()
     assert [tuple(r) for r in got] == [(0, 0, len(path))]
 
+
+def test_guards_name_what_must_not_be_scored(spark):
+    rows = [("a", "AB"), ("b", "cd"), ("../c", None), ("d", None), ("d", None), ("e", None)]
+    captures = spark.createDataFrame(rows, "capture_name string, expected_input_sha256 string")
+    hashes = spark.createDataFrame([("a", "ab"), ("b", "xx"), ("e", "yy")], "capture_name string, sha256 string")
+    got = {r.capture_name: r.problem for r in evaluate.guarded(captures, hashes).collect()}
+    assert got["a"] is None and got["e"] is None
+    assert "not the one" in got["b"] and "plain name" in got["../c"] and "repeats" in got["d"]
+
+
+def test_anchored_stitch_moves_walls_and_outline(spark, tmp_path):
+    import json
+    import math
+
+    turn = lambda x, y: (math.cos(0.5) * x - math.sin(0.5) * y + 2, math.sin(0.5) * x + math.cos(0.5) * y - 1)
+    points = [(0, 0), (4, 0), (4, 3)]
+    (tmp_path / "anchors.json").write_text(json.dumps({"source": points, "target": [turn(*p) for p in points]}))
+    anchors = documents.anchor_rows(documents.read_json(spark, str(tmp_path / "anchors.json"), documents.ANCHORS))
+    walls = lambda f: spark.createDataFrame([("pair", w, *f(*a), *f(*b)) for w, a, b in (("W01", (0.0, 0.0), (4.0, 0.0)), ("W02", (4.0, 0.0), (4.0, 3.0)))], "pair string, wall_id string, x1 double, y1 double, x2 double, y2 double")
+    transform, moved, matches = register.anchored_stitch(anchors, walls(lambda x, y: (x, y)), walls(turn), ["pair"])
+    t = transform.first()
+    assert abs(t.theta - 0.5) < 1e-9 and t.max_m < 1e-9 and t.problem is None and t.n == 3
+    assert {(r.wall_id_a, r.wall_id_b) for r in matches.collect()} == {("W01", "W01"), ("W02", "W02")}
+    outline = spark.createDataFrame([("pair", [{"x": 4.0, "y": 3.0}])], "pair string, vertices array<struct<x: double, y: double>>")
+    v = register.moved_outline(outline, transform, ["pair"]).first().vertices[0]
+    assert np.allclose([v.x, v.y], turn(4, 3))
+    (tmp_path / "one.json").write_text(json.dumps({"source": [[0, 0]], "target": [[1, 1]]}))
+    with pytest.raises(Exception, match="two or more"):
+        documents.anchor_rows(documents.read_json(spark, str(tmp_path / "one.json"), documents.ANCHORS)).collect()
+
+
+def test_tables_are_published_whole_or_not_at_all(spark, tmp_path):
+    out = str(tmp_path / "out")
+    good, bad = spark.range(3), spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception, match="no"):
+        cli._save({"a": good, "b": bad}, out, False)
+    assert not list(tmp_path.iterdir())
+    cli._save({"a": good}, out, False)
+    with pytest.raises(FileExistsError):
+        cli._save({"a": good}, out, False)
+    cli._save({"c": good}, out, True)
+    assert spark.read.parquet(f"{out}/a").count() == spark.read.parquet(f"{out}/c").count() == 3 and len(list(tmp_path.iterdir())) == 1
+
+
+def test_stream_into_tables(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([("a", *map(float, p)) for p in rng.uniform(0, 1, (300, 3))], "capture_id string, x double, y double, z double")
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    q = fuse_into(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), 0.25, str(tmp_path / "sums"), str(tmp_path / "ck"))
+    q.processAllAvailable()
+    q.stop()
+    key = lambda rows: sorted((r.vx, r.vy, r.vz, round(r.x, 9), round(r.y, 9), round(r.z, 9), r.n_points) for r in rows)
+    assert key(read_fused(spark, str(tmp_path / "sums")).collect()) == key(project.voxel_fuse(df, 0.25).collect())

@@ -54,7 +54,20 @@ def test_query_equals_sql(spark, duck, name):
     assert norm(got, sorted(names)) == norm(want, sorted(names))
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL)))
+def test_wall_peel_equals_plain_peeling(spark):
+    """Few captures of the small tables hold a wall: what the query gives is what peeling gives for each."""
+    from voxelyard.config import Structure
+    from voxelyard.operators.planes import peel_walls
+    from voxelyard.plans import lens
+
+    config = Structure(minimum_plane_inliers=8, wall_minimum_span_m=0.2, wall_minimum_height_m=0.2, wall_inlier_m=0.3)
+    rows = lens.cloud(spark, SF).selectExpr("capture", "x", "z", "y + 4 as h").toPandas()
+    want = sorted((c, i, round(w["offset"], 9), w["inliers"]) for c, f in rows.groupby("capture") for i, w in enumerate(peel_walls(f, config)))
+    got = catalog.QUERIES["wall_peel"](spark, SF).collect()
+    assert sorted((r.capture, r.wall_no, round(r.offset, 9), r.inliers) for r in got) == want
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.SQL) - {"wall_peel"}))
 def test_query_without_sql_has_rows(spark, name):
     df = catalog.QUERIES[name](spark, SF)
     assert df.columns and len(df.collect()) >= 1

@@ -1,64 +1,18 @@
 """Whole captures, rendered here, from images to measures, in one job."""
 
-import math
 import os
 
-import numpy as np
 import pytest
 
 from tests import scenes
+from voxelyard.config import Intervals
 from voxelyard.operators import evaluate, runs
-from voxelyard.sources import documents, png
-
-W, H = 96, 72
-FX = 1400.0
-
-
-def quaternion(r):
-    w = math.sqrt(max(0.0, 1 + r[0, 0] + r[1, 1] + r[2, 2])) / 2
-    if w > 1e-6:
-        return (r[2, 1] - r[1, 2]) / (4 * w), (r[0, 2] - r[2, 0]) / (4 * w), (r[1, 0] - r[0, 1]) / (4 * w), w
-    i = int(np.argmax(np.diag(r)))
-    j, k = (i + 1) % 3, (i + 2) % 3
-    q = [0.0, 0.0, 0.0]
-    q[i] = math.sqrt(max(0.0, 1 + r[i, i] - r[j, j] - r[k, k])) / 2
-    q[j], q[k] = (r[j, i] + r[i, j]) / (4 * q[i]), (r[k, i] + r[i, k]) / (4 * q[i])
-    return (*q, (r[k, j] - r[j, k]) / (4 * q[i]))
-
-
-def rendered(width=4.0, depth=3.0, height=2.5, drift=0.0):
-    """A capture of an empty box, seen from its middle in all directions."""
-    files = {"camera_matrix.csv": f"{FX},0,960\n0,{FX},720\n0,0,1\n".encode(), "imu.csv": b"timestamp\n1\n", "rgb.mp4": b"v"}
-    rows = scenes.POSES
-    fx, fy = FX * W / 1920, FX * H / 1440
-    u, v = np.meshgrid(np.arange(W), np.arange(H))
-    rays = np.stack([(u - 960 * W / 1920) / fx, (v - 720 * H / 1440) / fy, np.ones_like(u, float)], -1)
-    low, high = np.array([-width / 2, 0, -depth / 2]), np.array([width / 2, height, depth / 2])
-    n = 0
-    for pitch in (-0.7, 0.0, 0.6):
-        for yaw in np.linspace(0, 2 * math.pi, 24, endpoint=False):
-            forward = np.array([math.cos(pitch) * math.sin(yaw), math.sin(pitch), math.cos(pitch) * math.cos(yaw)])
-            right = np.cross(forward, [0, 1, 0])
-            right /= np.linalg.norm(right)
-            r = np.stack([right, np.cross(forward, right), forward], 1)
-            eye = np.array([0.2 * math.sin(yaw), 1.5, 0.2 * math.cos(yaw)])
-            d = rays @ r.T
-            with np.errstate(divide="ignore"):
-                t = np.where(d > 0, (high - eye) / d, (low - eye) / d)
-            z = np.where(np.isfinite(t), t, np.inf).min(-1)
-            files[f"depth/{n:06d}.png"] = png.encode(np.clip(np.rint(z * 1000), 0, 65535).astype(np.uint16))
-            files[f"confidence/{n:06d}.png"] = png.encode(np.full((H, W), 2, np.uint8))
-            q = quaternion(r)
-            y = eye[1] + drift * math.sin(2 * math.pi * n / 24)
-            rows += f"{n / 10},{n},{eye[0]},{y},{eye[2]},{q[0]},{q[1]},{q[2]},{q[3]},{FX},{FX},960,720,,\n"
-            n += 1
-    return files | {"odometry.csv": rows.encode()}
-
+from voxelyard.sources import documents
 
 @pytest.fixture(scope="module")
 def batch(spark):
-    captures = {"box": rendered(), "wide": rendered(5.0, 4.0), "bad": {"readme.txt": b"x"}}
-    tables = runs.results(scenes.members(spark, captures), "fast")
+    captures = {"box": scenes.rendered(), "wide": scenes.rendered(5.0, 4.0), "bad": {"readme.txt": b"x"}}
+    tables = runs.results(scenes.members(spark, captures), "fast", resampling=Intervals(resamples=10, minimum_successes=6))
     return {n: df.persist() for n, df in tables.items()}
 
 
@@ -83,6 +37,27 @@ def test_one_bad_capture_fails_alone(batch):
     assert 0.5 < q["box"].valid_depth_ratio <= 1 and q["box"].confidence in ("good", "caution")
 
 
+def test_intervals_and_notes_of_a_run(batch):
+    rows = {(r.capture_id, r.metric): r for r in batch["intervals"].collect()}
+    for name, area in (("box", 12), ("wide", 20)):
+        for metric in ("area_m2", "perimeter_m", "length_m", "width_m", "ceiling_height_m"):
+            r = rows[name, metric]
+            assert r.low <= r.high and r.n_samples >= 6 and r.unit == ("square_metre" if metric == "area_m2" else "metre")
+        assert abs(rows[name, "area_m2"].high - area) < 0.15 * area and rows[name, "ceiling_height_m"].high - rows[name, "ceiling_height_m"].low < 0.05
+    assert not any("ceiling" in r.message for r in batch["interval_notes"].collect())
+    assert not [r for r in rows if r[1] == "opening_width_m"]
+
+
+def test_what_a_run_says_about_itself(batch):
+    status = {r.capture_id: r for r in batch["opening_status"].collect()}
+    assert set(status) == {"box", "wide"} and all(r.status == "available" and r.n_openings == 0 for r in status.values())
+    claims = {(r.capture_id, r.capability): r.status for r in batch["capabilities"].collect()}
+    assert len(claims) == 54 and claims["box", "opening_detection"] == "supported_with_limitations" and claims["bad", "opening_detection"] == "not_evaluated"
+    q = {r.capture_id: r for r in batch["quality"].collect()}["box"]
+    assert q.ceiling_available and q.n_walls >= 4 and q.up_alignment > 0.99 and 0 < q.voxel_retention_ratio < 1 and q.closure_m >= 0
+    assert batch["frames"].where("problem is not null").count() == 0 and batch["adjacency"].count() == 0
+
+
 def test_truth_and_predictions_meet(spark, batch):
     rows = [("box", "lidar", "r", "ceiling_height", None, 2.5), ("box", "lidar", "r", "floor_area", None, 12.0), ("wide", "lidar", "s", "opening_width", "W01-O1", 0.9)]
     truth = spark.createDataFrame(rows, "capture_name string, tier string, room_id string, metric string, target_id string, value double")
@@ -93,5 +68,5 @@ def test_truth_and_predictions_meet(spark, batch):
 @pytest.mark.skipif(not os.environ.get("VOXELYARD_SLOW"), reason="two reconstructions and two measures: minutes")
 def test_drift_is_judged(spark):
     """A steady capture has nothing to gain: whatever gate speaks, the correction is not accepted."""
-    row = runs.drift_ablation(scenes.members(spark, {"still": rendered()}), "fast").first()
+    row = runs.drift_ablation(scenes.members(spark, {"still": scenes.rendered()}), "fast").first()
     assert not row.accepted and row.decision in ("unavailable", "no_baseline", "no_improvement", "walls_lost", "support_lost", "walls_worse", "points_lost", "inliers_lost")

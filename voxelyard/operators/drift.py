@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelyard.config import Drift
@@ -20,39 +20,25 @@ def smoothed(rows: DataFrame, by: list[str], order: str, value: str, window: int
     """Adds smooth: a centred mean whose ends are padded by odd reflection (2 x end - mirrored).
 
     The half-width is min(window // 2, (n - 1) // 2); two values or fewer stay as they are. Linear
-    sequences are left unchanged. The pads of row p are sums over a frame next to the ends, so the
-    mean is taken with windows and without a join.
+    sequences are left unchanged. The mean is the sum of a frame of rows, which stops at the ends, and
+    what the mirrored values of the few rows near each end add to it: one window, no join.
     """
     w = Window.partitionBy(*by)
     o = w.orderBy(order)
-    half = F.least(F.lit(window // 2), ((F.col("vy_n") - 1) / 2).cast("int"))
-    r = rows.withColumns({"vy_p": F.row_number().over(o) - 1, "vy_n": F.count("*").over(w)})
-    r = r.withColumn("vy_h", F.when((F.col("vy_n") <= 2) | F.lit(window <= 1), 0).otherwise(half))
-    v = F.col(value)
-    first, last = F.first_value(v).over(w.orderBy(order)), F.last_value(v).over(o.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     h = window // 2
-    terms, ends = [], F.lit(0.0)
-    for k in range(-h, h + 1):
-        inside = F.lag(v, -k).over(o) if k < 0 else F.lead(v, k).over(o) if k else v
-        inside = F.lag(v, -k).over(o) if k < 0 else inside
-        at = F.col("vy_p") + k
-        mirrored_low = 2 * first - _at(v, o, -at - F.col("vy_p"), h)
-        mirrored_high = 2 * last - _at(v, o, 2 * (F.col("vy_n") - 1) - at - F.col("vy_p"), h)
-        value_k = F.when(at < 0, mirrored_low).when(at >= F.col("vy_n"), mirrored_high).otherwise(inside)
-        terms.append(F.when(F.abs(F.lit(k)) <= F.col("vy_h"), value_k).otherwise(0.0))
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return r.withColumn("smooth", total / (2 * F.col("vy_h") + 1)).drop("vy_p", "vy_n", "vy_h")
-
-
-def _at(v: Column, o, step: Column, h: int) -> Column:
-    """The value `step` rows on, for steps within -h .. h (what reflection needs)."""
-    out = v
-    for s in range(-h, h + 1):
-        if s:
-            out = F.when(step == s, F.lead(v, s).over(o) if s > 0 else F.lag(v, -s).over(o)).otherwise(out)
-    return out
+    v = F.col(value)
+    r = rows.withColumns({"vy_p": F.row_number().over(o) - 1, "vy_n": F.count("*").over(w)})
+    r = r.withColumn("vy_h", F.when((F.col("vy_n") <= 2) | F.lit(window <= 1), 0).otherwise(F.least(F.lit(h), ((F.col("vy_n") - 1) / 2).cast("int"))))
+    back = F.col("vy_n") - 1 - F.col("vy_p")
+    ends = {f"vy_low{k}": F.max(F.when(F.col("vy_p") == k, v)).over(w) for k in range(h + 1)} | {f"vy_high{k}": F.max(F.when(back == k, v)).over(w) for k in range(h + 1)}
+    r = r.withColumns(ends)
+    total = v.cast("double")
+    for k in range(1, h + 1):
+        total = F.when(F.col("vy_h") == k, F.sum(v).over(o.rowsBetween(-k, k))).otherwise(total)
+    for k in range(1, h + 1):
+        for side, away in (("low", F.col("vy_p")), ("high", back)):
+            total = total + F.when(F.col("vy_h") - away >= k, 2 * F.col(f"vy_{side}0") - F.col(f"vy_{side}{k}")).otherwise(0.0)
+    return r.withColumn("smooth", total / (2 * F.col("vy_h") + 1)).drop("vy_p", "vy_n", "vy_h", *ends)
 
 
 def pose_offsets(smooth: DataFrame, planes: DataFrame, by: list[str], config: Drift = Drift()) -> DataFrame:

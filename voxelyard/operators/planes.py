@@ -140,10 +140,19 @@ def refine(points: DataFrame, planes: DataFrame, by: list[str], inlier: float, r
 
 
 def inlier_statistics(points: DataFrame, planes: DataFrame, by: list[str], inlier: float) -> DataFrame:
-    """Per plane: inliers, their share of the points, RMS residual, robust spans on x and z."""
+    """Per plane: inliers, their share of the points, RMS residual, robust spans on the plane's own axes (span_x
+    along world x laid on the plane, span_z across it), so that a tilted plane has its full extent."""
     far = dot(("nx", "ny", "nz"), ("x", "y", "z")) + F.col("d")
+    k = F.col("nx")
+    raw = (1 - k * F.col("nx"), -k * F.col("ny"), -k * F.col("nz"))
+    length = F.greatest(F.sqrt(dot(raw, raw)), F.lit(1e-9))
+    a = tuple(x / length for x in raw)
+    n = (F.col("nx"), F.col("ny"), F.col("nz"))
+    b = (a[1] * n[2] - a[2] * n[1], a[2] * n[0] - a[0] * n[2], a[0] * n[1] - a[1] * n[0])
+    place = (F.col("x"), F.col("y"), F.col("z"))
     met = points.join(planes, by).withColumn("vy_far", far).withColumn("vy_in", F.abs("vy_far") <= inlier)
-    v = lambda c: F.when(F.col("vy_in"), F.col(c).cast("double"))
+    met = met.withColumns({"vy_x": dot(a, place), "vy_z": dot(b, place)})
+    v = lambda c: F.when(F.col("vy_in"), F.col(f"vy_{c}").cast("double"))
     return met.groupBy(*by, "nx", "ny", "nz", "d").agg(
         F.count_if("vy_in").alias("inliers"), F.avg(F.col("vy_in").cast("double")).alias("inlier_ratio"),
         F.sqrt(F.avg(F.when(F.col("vy_in"), F.col("vy_far") * F.col("vy_far")))).alias("rmse_m"),
@@ -234,8 +243,17 @@ def duplicate_walls(walls: DataFrame, by: list[str], rank: str, angle_deg: float
 
 
 def peel_walls(frame: pd.DataFrame, config: Structure) -> list[dict]:
-    """The walls of one capture's points (columns x, z, h), found and removed one by one."""
-    rng = np.random.default_rng(config.ransac_seed + 100)
+    """The walls of one capture's points (columns x, z, h), found and removed one by one.
+
+    Hypotheses come from the portable generator that ransac uses, stepped twice with the high bits
+    folded in between, so that the two places of a hypothesis don't move in step.
+    """
+    def draw(turn: int, kind: int, m: int) -> np.ndarray:
+        step = lambda x: (1103515245 * (x % 2147483648) + 12345) % 2147483648
+        x = step(np.arange(config.ransac_iterations) * 7919 + (config.ransac_seed + 100 + turn) * 104729 + kind * 15485863)
+        return (step(x ^ (x >> 13)) >> 7) % m
+
+    turn = 0
     frame = frame.sort_values(["x", "z", "h"])
     xz, h = frame[["x", "z"]].to_numpy(float), frame["h"].to_numpy(float)
     alive = np.flatnonzero(h > config.wall_clearance_m)
@@ -245,7 +263,8 @@ def peel_walls(frame: pd.DataFrame, config: Structure) -> list[dict]:
     while len(walls) < config.maximum_walls and misses < 4 * config.maximum_walls and len(alive) >= max(least, 3):
         at = alive[np.linspace(0, len(alive) - 1, min(len(alive), config.ransac_sample)).astype(int)]
         p = xz[at]
-        i, j = rng.integers(0, len(p), (2, config.ransac_iterations))
+        i, j = draw(turn, 1, len(p)), draw(turn, 2, len(p))
+        turn += 1
         v = p[j] - p[i]
         length = np.hypot(v[:, 0], v[:, 1])
         good = length > 0.05

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voxelyard.config import PROFILES, Drift, Intervals, Reconstruction, Structure
 from voxelyard.operators import capabilities, drift, frames, grid, intervals, openings, planes, polygon, project, resample, validate
-from voxelyard.operators.cut import cut
+from voxelyard.operators.cut import cut, store
 from voxelyard.sources import capture as cap
 
 KEY = ["capture_id"]
@@ -36,19 +36,22 @@ class Reconstructed:
     frames: DataFrame  # capture_id, frame_id, sampled, valid, problem (why the frame was skipped, or null)
 
 
-def reconstruct(members: DataFrame, config: Reconstruction = PROFILES["fast"], evenly: bool = True, only: DataFrame | None = None, offsets: DataFrame | None = None) -> Reconstructed:
-    """All captures of members at once; `only` keeps the captures it lists (the valid ones)."""
+def reconstruct(
+    members: DataFrame, config: Reconstruction = PROFILES["fast"], evenly: bool = True, only: DataFrame | None = None, offsets: DataFrame | None = None,
+    indexed: validate.Index | None = None,
+) -> Reconstructed:
+    """All captures of members at once; `only` keeps the captures it lists (the valid ones). indexed: the
+    index of members, where there is one already."""
+    at_hand = indexed or validate.index(members)
+    poses, depth, conf = at_hand.poses.where("problem is null"), at_hand.depth, at_hand.confidence
     if only is not None:
-        members = members.join(only.select("capture_id"), "capture_id", "left_semi")
-    root = cut(cap.roots(members))
-    poses = cut(cap.poses(members, root).where("problem is null"))
-    depth, conf = cut(cap.frame_files(members, root, "depth")), cut(cap.frame_files(members, root, "confidence"))
+        poses = poses.join(only.select("capture_id"), "capture_id", "left_semi")  # without poses no frame matches
     matched = frames.match_frames(depth.where("code is null"), conf.where("code is null"), poses)
     pick = frames.keyframes if evenly else frames.contiguous
     wanted = cut(pick(matched, config.maximum_frames))
     decoded = cap.pixels(members, depth, conf, wanted, config.pixel_stride)
     pixels = decoded.where("problem is null")
-    cam = cut(cap.camera_matrices(members, root)).where("valid").select("capture_id", *[F.col(c).alias(f"k{c}") for c in ("fx", "fy", "cx", "cy")])
+    cam = at_hand.camera.where("valid").select("capture_id", *[F.col(c).alias(f"k{c}") for c in ("fx", "fy", "cx", "cy")])
     if offsets is not None:
         poses = project.offset_poses(poses, offsets, ["capture_id", "frame_id"])
     posed = project.with_rotation(poses.join(cam, "capture_id"))
@@ -164,9 +167,11 @@ def results(members: DataFrame, profile: str = "fast", structure: Structure = St
     """Every published table of a batch of captures, keyed by capture_id. A capture that fails has a
     status and its issues, and doesn't touch the others; a frame that fails is an issue of its capture
     and left out. resampling None: no intervals, and a note that says so."""
-    issues, summary = validate.validate(members)
+    members = store(members)  # archives are unpacked once
+    at_hand = validate.index(members)
+    issues, summary = validate.validate(members, at_hand)
     good = summary.where("valid").select("capture_id")
-    got = reconstruct(members, PROFILES[profile], only=good)
+    got = reconstruct(members, PROFILES[profile], only=good, indexed=at_hand)
     got.cloud = cut(got.cloud)
     measured = measure(got.cloud, got.poses.select("capture_id", F.col("ty").alias("y")), structure)
     path = frames.trajectory(got.poses, KEY, ["frame_no"], ("tx", "ty", "tz"))
@@ -216,7 +221,9 @@ def quality_metrics(
 def drift_ablation(members: DataFrame, profile: str = "fast", structure: Structure = Structure(), config: Drift = Drift()) -> DataFrame:
     """Per capture: the verdict on correcting vertical drift. decision is unavailable where too few
     frames see the floor or no offset results."""
-    base = reconstruct(members, PROFILES[profile])
+    members = store(members)
+    at_hand = validate.index(members)
+    base = reconstruct(members, PROFILES[profile], indexed=at_hand)
     base.points, base.cloud = cut(base.points), cut(base.cloud)
     poses = base.poses.select("capture_id", F.col("ty").alias("y"))
     control = measure(base.cloud, poses, structure)
@@ -224,7 +231,7 @@ def drift_ablation(members: DataFrame, profile: str = "fast", structure: Structu
     residuals = cut(drift.frame_residuals(base.points, floor, KEY, "frame_id", config))
     enough = residuals.groupBy(*KEY).agg(F.count("*").alias("n")).where(F.col("n") >= config.minimum_frames)
     offsets = cut(drift.pose_offsets(drift.smoothed(residuals.join(enough.select("capture_id"), KEY), KEY, "frame_id", "residual_m", config.window), floor, KEY, config))
-    moved = reconstruct(members, PROFILES[profile], offsets=offsets)
+    moved = reconstruct(members, PROFILES[profile], offsets=offsets, indexed=at_hand)
     moved.cloud = cut(moved.cloud)
     corrected = measure(moved.cloud, poses, structure)
     arms = _arm(base.cloud, control, "control", config).unionByName(_arm(moved.cloud, corrected, "corrected", config))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,11 +17,30 @@ def expectation(rows: DataFrame, broken: Column, severity: str, code: str, messa
     return rows.where(F.coalesce(broken, F.lit(False))).select("capture_id", F.lit(severity).alias("severity"), F.lit(code).alias("code"), message.alias("message"))
 
 
-def validate(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+@dataclass
+class Index:
+    """What validation and reconstruction both need of the members, worked out once."""
+
+    members: DataFrame
+    root: DataFrame
+    camera: DataFrame
+    poses: DataFrame  # problem says why a row is invalid
+    depth: DataFrame  # code says why a file doesn't count
+    confidence: DataFrame
+
+
+def index(members: DataFrame) -> Index:
+    root = cut(cap.roots(members))
+    files = lambda kind: cut(cap.frame_files(members, root, kind))
+    return Index(members, root, cut(cap.camera_matrices(members, root)), cut(cap.poses(members, root)), files("depth"), files("confidence"))
+
+
+def validate(members: DataFrame, indexed: Index | None = None) -> tuple[DataFrame, DataFrame]:
     """(issues, summary): summary has valid (no error), the counts of frames and of issues."""
+    at_hand = indexed or index(members)
     ids = members.select("capture_id").distinct()
     opened = cap.member_problems(members).select("capture_id", F.lit("error").alias("severity"), "code", "message")
-    root = cut(cap.roots(members))
+    root = at_hand.root
     no_root = ids.join(root, "capture_id", "left")
     issues = [
         opened,
@@ -36,12 +57,12 @@ def validate(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         issues.append(expectation(met, F.col("size").isNull(), severity, code_missing, F.concat(F.lit("missing: "), "member")))
         if code_empty:
             issues.append(expectation(met, F.col("size") == 0, severity, code_empty, F.concat(F.lit("empty: "), "member")))
-    camera = cut(cap.camera_matrices(members, root))
+    camera = at_hand.camera
     issues.append(expectation(camera, ~F.col("valid"), "error", "invalid_camera_matrix", F.lit("not a 3 x 3 camera matrix")))
-    poses = cut(cap.poses(members, root))
+    poses = at_hand.poses
     issues.append(expectation(poses, F.col("problem").isNotNull(), "error", "invalid_odometry", F.concat(F.lit("row "), F.col("row_no").cast("string"), F.lit(": "), "problem")))
     good = poses.where("problem is null")
-    depth, conf = cut(cap.frame_files(members, root, "depth")), cut(cap.frame_files(members, root, "confidence"))
+    depth, conf = at_hand.depth, at_hand.confidence
     for files, kind in ((depth, "depth"), (conf, "confidence")):
         for code, severity in (("invalid_frame_filename", "warning"), ("duplicate_frame_file", "error"), ("empty_frame_file", "error")):
             issues.append(expectation(files, F.col("code") == code, severity, code, F.col("member")))
@@ -73,11 +94,10 @@ def require_valid(members: DataFrame) -> DataFrame:
 
     The strict way in, for callers that would rather have no result than a partial one.
     """
-    issues, summary = validate(members)
+    at_hand = index(members)
+    issues, summary = validate(members, at_hand)
     wrong = issues.where("severity = 'error'").groupBy("capture_id").agg(F.min(F.concat("code", F.lit(": "), "message")).alias("why"))
-    root = cut(cap.roots(members))
-    good = cap.poses(members, root).where("problem is null")
-    matched = fr.match_frames(*[cap.frame_files(members, root, x).where("code is null") for x in ("depth", "confidence")], good, ["capture_id", "frame_id"])
+    matched = fr.match_frames(at_hand.depth.where("code is null"), at_hand.confidence.where("code is null"), at_hand.poses.where("problem is null"), ["capture_id", "frame_id"])
     met = summary.select("capture_id").join(wrong, "capture_id", "left").join(matched.select("capture_id", "frame_id"), "capture_id", "left")
     stop = F.when(F.col("why").isNotNull(), F.raise_error(F.concat("capture_id", F.lit(" is not valid: "), "why")))
     return met.withColumn("stop", stop).where("stop is null").select("capture_id", "frame_id")
@@ -89,14 +109,13 @@ def _images(members: DataFrame, depth: DataFrame, conf: DataFrame, matched: Data
     at = F.row_number().over(w.orderBy("frame_id")) - 1
     n = F.count("*").over(w)
     picked = matched.withColumns({"at": at, "n": n}).where("at = 0 or at = n - 1 or at = floor(n / 2)").select("capture_id", "frame_id")
-    picked = cut(picked)
-
-    def looked(files: DataFrame, kind: str) -> DataFrame:
-        names = files.join(picked, ["capture_id", "frame_id"]).select("capture_id", "frame_id", "member")
-        held = members.select("capture_id", cap.normalised(F.col("member")).alias("member"), "content").join(names.drop("frame_id"), ["capture_id", "member"])
-        return cut(cap.inspect(held).join(names, ["capture_id", "member"]))
-
-    d, c = looked(depth, "depth"), looked(conf, "confidence")
+    names = depth.select("capture_id", "frame_id", "member", F.lit("depth").alias("kind")).unionByName(
+        conf.select("capture_id", "frame_id", "member", F.lit("confidence").alias("kind"))
+    ).join(picked, ["capture_id", "frame_id"])
+    names = cut(names)
+    held = members.select("capture_id", cap.normalised(F.col("member")).alias("member"), "content").join(names.select("capture_id", "member"), ["capture_id", "member"])
+    looked = cut(cap.inspect(held).join(names, ["capture_id", "member"]))
+    d, c = looked.where("kind = 'depth'"), looked.where("kind = 'confidence'")
     out = [expectation(x, F.col("problem").isNotNull(), "error", "invalid_frame_image", F.concat("member", F.lit(": "), "problem")) for x in (d, c)]
     size = F.count_distinct(F.when(F.col("problem").isNull(), F.struct("width", "height")))
     for x, kind in ((d, "depth"), (c, "confidence")):
