@@ -17,9 +17,9 @@ forest, at most one for each fingerprint, never all pairs.
 
 Blocks serve small radii. For a similarity of 0.8 on five-word shingles `similar` searches the trees
 for candidates, by prints of 512 bits and a radius that a similar pair exceeds with a probability under
-1e-5, in shards of the smallest shingle hashes; a shard that too many texts share is dealt again by
-pairs of those hashes, and then by threes. Then all shingles of the candidates meet, and only texts
-whose exact Jaccard similarity is high enough are linked.
+1e-5, in shards of the smallest shingle hashes, of which those that too many texts share come last. Then
+all shingles of the candidates meet, and only texts whose exact Jaccard similarity is high enough are
+linked.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelyard.llm.common import SPACE_WORD, drop, pieces, stage
@@ -360,14 +360,14 @@ WIDE_SIMILARITY, WIDE_RADIUS = 0.8, 136
 
 def similar(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8,
-    deals: int = 16, shard_rows: int = 1024,
+    deals: int = 8, least: int = 16, shard_rows: int = 1024,
 ) -> DataFrame:
     """Per row: doc_id, text_hash, node, root (longs), component_id: groups of texts linked where the Jaccard similarity of
     their distinct five-word shingles (by hash) is at least `similarity` (0.8 or more).
 
-    Candidates: a text is dealt to the shards of its `deals` smallest shingle hashes. Texts of up to
-    deals / (1 - s) - 1 shingles that are similar always meet; larger ones miss each other with a probability under
-    (1 - s)^deals, 7e-12 (1e-6 where all the hashes that they share are too common, see `_dealt`). In a
+    Candidates: a text is dealt to the shards of `deals` of its `least` smallest shingle hashes, those that
+    are not too common first. Texts of up to `least` shingles that are similar always meet;
+    larger ones miss each other with a probability of about (1 - s)^deals, 3e-6. In a
     shard the trees find the prints within WIDE_RADIUS. All texts that hang together by candidates meet with their whole sets of
     shingles, and the exact similarity decides. A node is a set of shingles.
     Null and empty texts have none and are one group; other edge cases are as in near_duplicates.
@@ -382,11 +382,11 @@ def similar(
                 got = [np.unique(shingle_hashes(t, shingle)) for t in b.column(1).to_pylist()]
                 names = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in got], np.uint64).view(np.int64)
                 sigs = [wide_print(h, words).view(np.int64) for h in got]
-                least = [h[:deals].view(np.int64) for h in got]
+                lows = [h[:least].view(np.int64) for h in got]
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column(0), b.column(2), pa.array(names), pa.array([*map(len, got)], pa.int64()),
-                        pa.array(sigs, pa.list_(pa.int64())), pa.array(least, pa.list_(pa.int64())),
+                        pa.array(sigs, pa.list_(pa.int64())), pa.array(lows, pa.list_(pa.int64())),
                     ],
                     ["doc_id", "text_hash", "node", "size", "sig", "least"],
                 )
@@ -403,7 +403,7 @@ def similar(
         ),
         "nodes",
     )
-    deals_of, staged = _dealt(nodes, 2 * shard_rows)
+    deals_of = stage(_dealt(nodes, 2 * shard_rows, deals), "deals")
     dealt = deals_of.join(nodes.select(F.col("node").alias("fp"), "sig"), "fp").select(
         "fp", "part", "bits", *[F.col("sig")[i].alias(f"w{i}") for i in range(words)]
     )
@@ -414,8 +414,7 @@ def similar(
         return _wide_forest(g["fp"], sigs, queries, WIDE_RADIUS)
 
     near = components(_in_shards(dealt, search, shard_rows)).withColumnRenamed("root", "bits")
-    for done in staged:
-        drop(docs.sparkSession, done)
+    drop(docs.sparkSession, deals_of)
     asked = nodes.join(near, "node").select("node", "bits", F.col("text_hash").alias("asked_hash"))
     whole = asked.join(texts, F.col("asked_hash") == F.col("text_hash")).dropDuplicates(["node"]).select("node", "bits", "text")
 
@@ -442,35 +441,20 @@ def similar(
     return prints.join(of_node, "node").select("doc_id", "text_hash", "node", "root", "component_id")
 
 
-def _dealt(nodes: DataFrame, most: int) -> tuple[DataFrame, list[DataFrame]]:
-    """fp, part, bits: the shards of each node, by its smallest hashes; and the tables that it reads.
+def _dealt(nodes: DataFrame, most: int, deals: int) -> DataFrame:
+    """fp, part, bits: the shards of each node, by `deals` of its smallest hashes.
 
-    A hash that more than `most` nodes have among theirs (a passage that many texts share) is no key by
-    itself: its nodes are dealt by the pairs of it and each of their other hashes, and a pair that is
-    too common by threes. A similar pair has two of sixteen hashes in common but with a probability
-    under 1e-9, and three but with one under 1e-6; texts of few shingles have nearly all in common.
-    A shard of threes may have any size; _in_shards cuts it into chunks.
+    Of its smallest hashes a node takes those first that at most `most` nodes have among theirs: a passage
+    that many texts share puts them in one shard only where they have hardly another hash, as the copies
+    in a large group have. The order (common or not, then the hash) is the same for all nodes, so two
+    similar ones miss each other no likelier than by their smallest hashes. A shard of copies may have
+    any size; _in_shards cuts it into chunks.
     """
-    now = nodes.select(F.col("node").alias("fp"), F.col("least"), F.explode("least").alias("h")).select(
-        "fp", "least", F.array("h").alias("have"), F.col("h").alias("bits")
-    )
-    out, staged = None, []
-    for part in range(3):
-        if part == 2:
-            cold = now
-        else:
-            now = stage(now, f"deal{part}")
-            staged.append(now)
-            hot = now.groupBy("bits").agg(F.count("*").alias("n")).where(F.col("n") > most).select("bits")
-            cold = now.join(hot, "bits", "left_anti")
-            more = now.join(hot, "bits").select("fp", "least", F.explode(F.array_except("least", "have")).alias("h"), "have")
-            # a set of hashes is reached from each of its parts: once is enough
-            now = more.select("fp", "least", F.array_sort(F.concat("have", F.array("h"))).alias("have")).distinct().withColumn(
-                "bits", F.xxhash64("have")
-            )
-        found = cold.select("fp", F.lit(part).alias("part"), "bits")
-        out = found if out is None else out.unionByName(found)
-    return out, staged
+    rows = nodes.select(F.col("node").alias("fp"), F.explode("least").alias("bits"))
+    common = rows.groupBy("bits").agg(F.count("*").alias("n")).where(F.col("n") > most).select("bits", F.lit(1).alias("common"))
+    told = rows.join(common, "bits", "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("fp").orderBy("common", "bits"))
+    return told.withColumn("place", place).where(F.col("place") <= deals).select("fp", F.lit(0).alias("part"), "bits")
 
 
 def keep_first(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
