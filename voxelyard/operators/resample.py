@@ -8,18 +8,27 @@ from pyspark.sql import functions as F
 from voxelyard.config import Intervals, Structure
 from voxelyard.functions.columns import lcg
 
+#: Places of a group whose rows travel as one array.
+BLOCK = 1024
+
 
 def draws(rows: DataFrame, by: list[str], order: list[str], values: list[str], resamples: int = 64, seed: int = 29) -> DataFrame:
     """n of n rows with replacement for each resample: by, rep, and the values.
 
-    Row i of resample r is the row at place lcg(r, i) mod n, found by an equi-join on (by, place), so
-    each resample is a shuffle of narrow rows; the draws are the same in any partitioning.
+    Row i of resample r is the row at place lcg(r, i) mod n, found by an equi-join on (by, place // BLOCK), so
+    each resample is a shuffle of narrow rows; the draws are the same in any partitioning. Each task holds its
+    own blocks' rows packed in arrays; they are never broadcast, for they grow with the input.
     """
     w = Window.partitionBy(*by)
     placed = rows.select(*by, *values, (F.row_number().over(w.orderBy(*order)) - 1).cast("long").alias("vy_i"), F.count("*").over(w).alias("vy_n"))
     picks = placed.select(*by, "vy_i", "vy_n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("rep"))
     at = lcg(F.col("rep").cast("long") * 1000003 + F.col("vy_i") * 7 + (seed - 24)) % F.col("vy_n")
-    return picks.select(*by, "rep", at.alias("vy_i")).join(placed.select(*by, "vy_i", *values), [*by, "vy_i"]).drop("vy_i")
+    block = F.floor(F.col("vy_i") / BLOCK).alias("vy_block")
+    blocks = placed.groupBy(*by, block).agg(F.sort_array(F.collect_list(F.struct("vy_i", *values))).alias("vy_rows"))
+    asked = picks.select(*by, "rep", at.alias("vy_i")).withColumn("vy_block", block)
+    met = asked.join(blocks.hint("shuffle_hash"), [*by, "vy_block"])
+    row = F.col("vy_rows")[(F.col("vy_i") % BLOCK).cast("int")]
+    return met.select(*by, "rep", *[row[v].alias(v) for v in values])
 
 
 def interval(samples: DataFrame, by: list[str], value: str, confidence: float = 0.95, least: int = 2) -> DataFrame:
