@@ -11,12 +11,12 @@ alone, and a reader of the metadata reads no token.
 from __future__ import annotations
 
 import os
-import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,83 +44,104 @@ LATIN_END = "\u0250"
 SPACE = "\u0120"
 #: White space but the space and the line feed.
 RARE_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-PACK = [struct.Struct(f"<{n}I").pack for n in range(40)]
+#: A word of Latin letters and the marks that end it, then, after a line feed, another.
+LATIN, ENDS = (f"[{''.join(f'\\x{{{ord(c):x}}}' for c in chars)}]" for chars in (filter(str.isalpha, map(chr, range(ord(LATIN_END)))), MARKS))
+PART = rf"^(?P<v>{LATIN}+)(?P<vt>{ENDS}*)(?:(?P<n>\n)(?P<w>{LATIN}+)(?P<wt>{ENDS}*))?$"
+#: Bytes of text that are encoded together.
+TOGETHER = 12 << 20
 
 
 class CachedTokenizer:
-    """The tokenizers library, asked once for each word.
+    """The tokenizers library, asked once for each word of the texts given together.
 
     A text is cut before each single space that a non-space follows, where a byte-level pre-tokenizer
     always cuts as well, so the ids of the parts join to those of the text; a part is cut between its
-    letters and the marks that end it, for the same reason. Words of Latin letters are one pre-token
-    and go to the library's model as such; all other parts go through the whole library. At most
-    2 x `cache` parts are remembered, in two generations; results don't depend on it.
+    letters and the marks that end it, and at a line feed between words, for the same reason. Words of
+    Latin letters are one pre-token: the distinct ones go to the library's model in one call, which
+    gives ids alone, and are told apart by the lengths of their tokens. All other parts go through the
+    whole library; `cache` of the short ones are remembered. Cuts, distinct parts and the joining of ids are
+    array operations.
     """
 
-    def __init__(self, path: str, cache: int = 200_000) -> None:
+    def __init__(self, path: str, cache: int = 100_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.model = self.library.model.tokenize
+        self.many = Tokenizer(self.library.model)
+        self.many.pre_tokenizer = CharDelimiterSplit(" ")
+        vocab = self.library.get_vocab()
+        self.sizes = np.zeros(max(vocab.values(), default=0) + 1, np.int32)
+        self.sizes[[*vocab.values()]] = [*map(len, vocab)]
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         shown = {b: letter for letter, b in byte_letters().items()}
         self.letters = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(0x250)}
         self.cache = cache
-        self.parts = _Parts(self, {})
-        self.tails: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _ids(self, p: str) -> bytes:
-        """Ids of a part after a space."""
-        w = p.rstrip(MARKS)
-        if len(w) < len(p):
-            return self.parts[w] + self._tail(p[len(w) :]) if w.isalpha() else self._lines(p)
-        ids = self._word(p, SPACE)
-        return self._lines(p) if ids is None else ids
-
-    def _word(self, w: str, before: str) -> bytes | None:
-        """Ids of a word of Latin letters after a space (before is its letter) or after none."""
-        if w.isascii():
-            if not w.isalpha():
-                return None
-            got = self.model(before + w)
-        elif w.isalpha() and max(w) < LATIN_END:
-            got = self.model(before + w.translate(self.letters))
-        else:
-            return None
-        return PACK[len(got)](*[t.id for t in got]) if len(got) < len(PACK) else struct.pack(f"<{len(got)}I", *[t.id for t in got])
-
-    def _tail(self, tail: str) -> bytes:
-        if (ids := self.tails.get(tail)) is None:
-            self.tails[tail] = ids = self._whole(tail)
+        self.known: dict[str, np.ndarray] = {}
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _kept(self, part: str) -> np.ndarray:
+        if len(part) > 40:
+            return self._whole(part)
+        if (ids := self.known.get(part)) is None:
+            if len(self.known) >= self.cache:
+                self.known.clear()
+            self.known[part] = ids = self._whole(part)
         return ids
 
-    def _bare(self, p: str) -> bytes:
-        """Ids of a part without a line feed after none or a line feed."""
-        w = p.rstrip(MARKS)
-        if (ids := self._word(w, "")) is None:
-            return self._whole(p)
-        return ids + self._tail(p[len(w) :]) if len(w) < len(p) else ids
-
-    def _lines(self, p: str) -> bytes:
-        """Ids of a part after a space that may hold a line feed between two words."""
-        left, line, right = p.partition("\n")
-        if not line:
-            return self._whole(" " + p)
-        if left and right and not left[-1].isspace() and not right[0].isspace() and "\n" not in right:
-            return self.parts[left] + self._tail("\n") + self._bare(right)
-        return self._whole(" " + p)
+    def _shown(self, w: str) -> str:
+        return w if w.isascii() else w.translate(self.letters)
+
+    def _words(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens of letters, joined, and the number of each."""
+        flat, counts = [np.zeros(0, "<u4")], [np.zeros(0, np.int32)]
+        for begin in range(0, len(keys), 50_000):
+            some = keys[begin : begin + 50_000]
+            ids = np.array(self.many.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends, want = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+            at = np.searchsorted(ends, want)
+            if not len(ids) or ends[-1] != want[-1] or (ends[at] != want).any():  # a model that drops or replaces letters
+                each = [[t.id for t in self.model(k)] for k in some]
+                ids, at = np.array([i for e in each for i in e], "<u4"), np.cumsum([*map(len, each)]) - 1
+            flat.append(ids)
+            counts.append(np.diff(at, prepend=-1).astype(np.int32))
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def _parts(self, parts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct parts after a space, joined, and the number of each."""
+        found = pc.extract_regex(parts, PART)
+        v, vt, n, w, wt = (pc.struct_field(found, k) for k in ("v", "vt", "n", "w", "wt"))
+        begun, after = v.dictionary_encode(), pc.if_else(pc.equal(w, ""), None, w).dictionary_encode()
+        marks = pa.concat_arrays([vt, n, wt])
+        marks = pc.if_else(pc.equal(marks, ""), None, marks).dictionary_encode()
+        rest = parts.filter(pc.is_null(v)).to_pylist()
+        keys = [SPACE + self._shown(x) for x in begun.dictionary.to_pylist()] + [*map(self._shown, after.dictionary.to_pylist())]
+        flat, counts = self._words(keys)
+        more = [*map(self._kept, marks.dictionary.to_pylist()), *[self._kept(" " + x) for x in rest]]
+        flat = np.concatenate([flat, *more])
+        counts = np.concatenate([counts, np.fromiter(map(len, more), np.int32, len(more))])
+
+        def places(coded: pa.DictionaryArray, first: int) -> np.ndarray:
+            return np.where(coded.is_null().to_numpy(zero_copy_only=False), -1, coded.indices.fill_null(0).to_numpy(zero_copy_only=False) + first)
+
+        m = len(begun.dictionary), len(keys), len(keys) + len(marks.dictionary)
+        vt, n, wt = places(marks, m[1]).reshape(3, -1)
+        table = np.stack([places(begun, 0), vt, n, places(after, m[0]), wt], 1)
+        table[table[:, 0] < 0, 0] = m[2] + np.arange(len(rest))
+        used = table >= 0
+        flat, counts = _taken(flat, counts, table[used])
+        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(used.sum(1))]
+        return flat, np.diff(ends, prepend=0).astype(np.int32)
 
     def _cut(self, text: str) -> list[str]:
+        """Parts of a text with white space or its end after a space."""
         parts = text.split(" ")
-        if not self._unsafe(text):
-            return parts
         out = [parts[0]]
         for p in parts[1:]:
             if p and not p[0].isspace():
@@ -140,35 +161,40 @@ class CachedTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text (null: none) as little-endian unsigned 32-bit integers."""
-        out = []
-        for t in texts:
+        out = [b""] * len(texts)
+        plain, odd = {}, {}
+        for i, t in enumerate(texts):
             if not t:
-                out.append(b"")
-            elif any(s in t for s in self.special):
-                out.append(self._whole(t))
+                continue
+            if any(s in t for s in self.special):
+                out[i] = self._whole(t).tobytes()
+                continue
+            if self._unsafe(t):
+                first, *odd[i] = self._cut(t)
             else:
-                if len(self.parts) > self.cache:
-                    self.parts.old = {}.get
-                    self.parts = _Parts(self, self.parts)
-                    self.tails.clear()
-                first, *cut = self._cut(t)
-                begin = b"" if not first else self._whole(first) if "\n" in first else self._bare(first)
-                out.append(begin + b"".join(map(self.parts.__getitem__, cut)))
+                first, space, left = t.partition(" ")
+                if space:
+                    plain[i] = left
+            out[i] = self._kept(first).tobytes() if first else b""
+        lists = pc.split_pattern(pa.array(plain.values(), pa.string()), " "), pa.array(odd.values(), pa.list_(pa.string()))
+        parts = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode()
+        if len(parts):
+            flat, counts = _taken(*self._parts(parts.dictionary), parts.indices.to_numpy())
+            sizes = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False) for x in lists])
+            cuts = (4 * np.concatenate(([0], np.cumsum(counts)))[np.cumsum(sizes)]).tolist()
+            raw = memoryview(flat).cast("B")
+            for i, a, b in zip([*plain, *odd], [0, *cuts], cuts):
+                out[i] += raw[a:b]
         return out
 
 
-class _Parts(dict):
-    """Ids of parts after a space; what it lacks it takes from the generation before, or works out."""
-
-    def __init__(self, coder: CachedTokenizer, old: dict[str, bytes]) -> None:
-        self.coder, self.old = coder, old.get
-
-    def __missing__(self, p: str) -> bytes:
-        ids = self.old(p)
-        if ids is None:
-            ids = self.coder._ids(p)
-        self[p] = ids
-        return ids
+def _taken(flat: np.ndarray, counts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of flat, of which counts has the lengths, in the order and as often as at says."""
+    n = counts[at]
+    ends, begins = np.cumsum(n, dtype=np.int32), np.cumsum(counts, dtype=np.int32) - counts
+    places = np.repeat(begins[at] - (ends - n), n)
+    places += np.arange(len(places), dtype=np.int32)
+    return flat[places], n
 
 
 _LOADED: dict[str, CachedTokenizer] = {}
@@ -194,7 +220,7 @@ def write(docs: DataFrame, to: str, tokenizer: str, end_id: int = 2, id_col: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, shard, offset = loaded(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for b in pieces(whole):
+            for b in pieces(whole, at_most=TOGETHER):
                 got = [g + end for g in coder.encode(b.column(1).to_pylist())]
                 n = np.fromiter(map(len, got), np.int64, len(got)) // 4
                 ends = np.cumsum(n)
