@@ -57,7 +57,7 @@ class CachedTokenizer:
     A text is cut before each single space that a non-space follows, where a byte-level pre-tokenizer
     always cuts as well, so the ids of the parts join to those of the text; a part is cut between its
     letters and the marks that end it, and at a line feed between words, for the same reason. Words of
-    Latin letters are one pre-token: the distinct ones go to the library's model in one call, which
+    Latin letters are one pre-token: the distinct ones go to the library's model 8000 in a call, which
     gives ids alone, and are told apart by the lengths of their tokens. All other parts go through the
     whole library; `cache` of the short ones are remembered. Cuts, distinct parts and the joining of ids are
     array operations.
@@ -101,8 +101,8 @@ class CachedTokenizer:
     def _words(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pre-tokens of letters, joined, and the number of each."""
         flat, counts = [np.zeros(0, "<u4")], [np.zeros(0, np.int32)]
-        for begin in range(0, len(keys), 50_000):
-            some = keys[begin : begin + 50_000]
+        for begin in range(0, len(keys), 8_000):
+            some = keys[begin : begin + 8_000]
             ids = np.array(self.many.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends, want = np.cumsum(self.sizes[ids]), np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
             at = np.searchsorted(ends, want)
@@ -177,13 +177,16 @@ class CachedTokenizer:
                     plain[i] = left
             out[i] = self._kept(first).tobytes() if first else b""
         lists = pc.split_pattern(pa.array(plain.values(), pa.string()), " "), pa.array(odd.values(), pa.list_(pa.string()))
+        places, sizes = [*plain, *odd], np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False) for x in lists])
+        plain.clear()
+        odd.clear()
         parts = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode()
+        del lists
         if len(parts):
             flat, counts = _taken(*self._parts(parts.dictionary), parts.indices.to_numpy())
-            sizes = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False) for x in lists])
             cuts = (4 * np.concatenate(([0], np.cumsum(counts)))[np.cumsum(sizes)]).tolist()
             raw = memoryview(flat).cast("B")
-            for i, a, b in zip([*plain, *odd], [0, *cuts], cuts):
+            for i, a, b in zip(places, [0, *cuts], cuts):
                 out[i] += raw[a:b]
         return out
 
@@ -224,7 +227,8 @@ def write(docs: DataFrame, to: str, tokenizer: str, end_id: int = 2, id_col: str
                 got = [g + end for g in coder.encode(b.column(1).to_pylist())]
                 n = np.fromiter(map(len, got), np.int64, len(got)) // 4
                 ends = np.cumsum(n)
-                flat = np.frombuffer(b"".join(got), "<u4").astype(np.int32)
+                flat = np.frombuffer(b"".join(got), "<i4")
+                del got
                 tokens = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(n), shard), pa.int32()), b.column(0), pa.array(offset + ends - n), pa.array(n), tokens],
